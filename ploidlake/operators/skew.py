@@ -82,32 +82,31 @@ def plan_loads(facts: DataFrame, key: str, tasks: int | None = None, buckets: in
     return LoadPlan(tasks, total, where[:buckets], {k: where[buckets + i : buckets + i + p] for k, i, p in shards}, task_load)
 
 
-def _tables(df: DataFrame, key: str, plan: LoadPlan) -> tuple[DataFrame, DataFrame]:
+def _tables(df: DataFrame, plan: LoadPlan) -> tuple[DataFrame, DataFrame]:
     """The plan as two small tables: at most BUCKETS rows, and fewer rows than shards."""
     spark = df.sparkSession
-    buckets = spark.createDataFrame(list(enumerate(plan.bucket_task)), "__b int, __t int")
-    kind = T.StructType([T.StructField("__k", df.schema[key].dataType), T.StructField("__ts", T.ArrayType(T.IntegerType()))])
+    buckets = spark.createDataFrame(list(enumerate(plan.bucket_task)), "b int, t int")
+    kind = T.StructType([T.StructField("hk", df.schema["key"].dataType), T.StructField("ts", T.ArrayType(T.IntegerType()))])
     return buckets, spark.createDataFrame([(k, ts) for k, ts in plan.heavy.items()], kind)
 
 
-def _placed(df: DataFrame, key: str, plan: LoadPlan, replicate: bool) -> DataFrame:
-    """``df`` with ``__task`` and ``__shard``; with ``replicate``, rows of a heavy key once for each of its shards."""
-    buckets, heavy = _tables(df, key, plan)
-    marked = df.withColumn("__b", _bucket(key, len(plan.bucket_task))).join(F.broadcast(buckets), "__b").drop("__b")
-    marked = marked.join(F.broadcast(heavy), F.col(key) == F.col("__k"), "left").drop("__k")
+def _placed(df: DataFrame, plan: LoadPlan, replicate: bool) -> DataFrame:
+    """``df`` (with ``key``) and ``task``, ``shard``; with ``replicate``, rows of a heavy key once for each of its shards."""
+    buckets, heavy = _tables(df, plan)
+    marked = df.withColumn("b", _bucket("key", len(plan.bucket_task))).join(F.broadcast(buckets), "b").drop("b")
+    marked = marked.join(F.broadcast(heavy), F.col("key") == F.col("hk"), "left").drop("hk")
     if replicate:
-        marked = marked.select("*", F.posexplode(F.coalesce("__ts", F.array("__t"))).alias("__shard", "__task"))
+        marked = marked.select("*", F.posexplode(F.coalesce("ts", F.array("t"))).alias("shard", "task"))
     else:  # the row's place in the scan: copies of one row spread as well
-        marked = marked.withColumn("__shard", F.when(F.col("__ts").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.size("__ts"))).cast("int"))
-        marked = marked.withColumn("__task", F.when(F.col("__ts").isNull(), F.col("__t")).otherwise(F.get("__ts", F.col("__shard"))))
-    return marked.drop("__t", "__ts")
+        marked = marked.withColumn("shard", F.when(F.col("ts").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.size("ts"))).cast("int"))
+        marked = marked.withColumn("task", F.when(F.col("ts").isNull(), F.col("t")).otherwise(F.get("ts", F.col("shard"))))
+    return marked.drop("t", "ts").repartitionById(plan.tasks, F.col("task"))
 
 
-def _clear(df: DataFrame, key: str) -> DataFrame:
-    bad = [c for c in df.columns if c.startswith("__")]
-    if bad:
-        raise ValueError(f"columns {bad} begin with two underscores, which this operator uses itself")
-    return df.filter(F.col(key).isNotNull())
+def _numbered(df: DataFrame, key: str, letter: str) -> tuple[DataFrame, dict[str, str]]:
+    """Rows with a key, columns under names of our own, so that none can clash; and the columns' names."""
+    names = {c: f"{letter}{i}" for i, c in enumerate(df.columns) if c != key}
+    return df.filter(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
 
 
 def keyed_totals(facts: DataFrame, key: str, sums: dict[str, Column | str], match: DataFrame | None = None, plan: LoadPlan | None = None) -> DataFrame:
@@ -115,42 +114,43 @@ def keyed_totals(facts: DataFrame, key: str, sums: dict[str, Column | str], matc
 
     ``sums`` maps result columns to summed columns (nulls count for nothing; a sum of nulls only is null). Keys that
     ``match`` lacks get nulls there; rows without key give no result. Repeated rows of ``facts`` count each time; of
-    several ``match`` rows of one key, the smallest value of each column is taken. Empty ``facts`` give no rows. Column
-    names must not begin with two underscores; columns of ``match`` named as the key or a result get underscores.
+    several ``match`` rows of one key, the smallest value of each column is taken. Empty ``facts`` give no rows. Other
+    columns of ``facts`` are ignored; columns of ``match`` named like the key or a result get underscores.
     """
-    facts = _clear(facts, key)
-    slim = facts.select(key, *[(F.col(c) if isinstance(c, str) else c).alias(f"__s{i}") for i, c in enumerate(sums.values())])
-    plan = plan or plan_loads(slim, key)
-    placed = _placed(slim, key, plan, replicate=False).repartitionById(plan.tasks, F.col("__task"))
-    extra: list[str] = []
+    slim = facts.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), *[(F.col(c) if isinstance(c, str) else c).alias(f"s{i}") for i, c in enumerate(sums.values())])
+    plan = plan or plan_loads(slim, "key")
+    placed = _placed(slim, plan, replicate=False)
+    extra: dict[str, str] = {}
     if match is not None:
-        one = _clear(match, key)
-        taken = [key, "n_rows", *sums]
-        names = {}
-        for c in one.columns:
-            if c != key:
-                names[c] = fresh(taken, c)
-                taken.append(names[c])
-        one = one.groupBy(key).agg(*[F.min(c).alias(names[c]) for c in names])
-        extra = list(names.values())
-        sides = _placed(one, key, plan, replicate=True).repartitionById(plan.tasks, F.col("__task"))
-        placed = placed.join(sides, ["__task", "__shard", key], "left")
-    local = placed.groupBy("__task", "__shard", key).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.sum(f"__s{i}").alias(f"__s{i}") for i in range(len(sums))], *[F.min(c).alias(c) for c in extra]
-    )
-    return local.groupBy(key).agg(F.sum("__n").alias("n_rows"), *[F.sum(f"__s{i}").alias(c) for i, c in enumerate(sums)], *[F.min(c).alias(c) for c in extra])
+        one, extra = _numbered(match, key, "m")
+        one = one.groupBy("key").agg(*[F.min(c).alias(c) for c in extra.values()])
+        placed = placed.join(_placed(one, plan, replicate=True), ["task", "shard", "key"], "left")
+    local = placed.groupBy("task", "shard", "key").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(sums))], *[F.min(c).alias(c) for c in extra.values()])
+    whole = local.groupBy("key").agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(sums))], *[F.min(c).alias(c) for c in extra.values()])
+    taken = [key, "n_rows", *sums]
+    out = [F.col("key").alias(key), F.col("n").alias("n_rows"), *[F.col(f"s{i}").alias(c) for i, c in enumerate(sums)]]
+    for c, n in extra.items():
+        taken.append(fresh(taken, c))
+        out.append(F.col(n).alias(taken[-1]))
+    return whole.select(*out)
 
 
 def lookup(facts: DataFrame, match: DataFrame, key: str, plan: LoadPlan | None = None, how: str = "inner") -> DataFrame:
     """``facts`` joined with ``match`` on ``key``, hot keys in shards: the row-level form of the operator.
 
-    Null keys match nothing (and are left out); ``match`` may have several rows per key.
+    Rows without key match nothing and are left out; ``match`` may have several rows per key; its columns get underscores
+    where ``facts`` has their names. Empty sides give what the join (``inner`` or ``left``) gives.
     """
-    facts, match = _clear(facts, key), _clear(match, key)
-    plan = plan or plan_loads(facts, key)
-    a = _placed(facts, key, plan, replicate=False).repartitionById(plan.tasks, F.col("__task"))
-    b = _placed(match, key, plan, replicate=True).repartitionById(plan.tasks, F.col("__task"))
-    return a.join(b, ["__task", "__shard", key], how).drop("__task", "__shard")
+    a, own = _numbered(facts, key, "f")
+    b, theirs = _numbered(match, key, "m")
+    plan = plan or plan_loads(a, "key")
+    joined = _placed(a, plan, replicate=False).join(_placed(b, plan, replicate=True), ["task", "shard", "key"], how)
+    out = [F.col("key").alias(key) if c == key else F.col(own[c]).alias(c) for c in facts.columns]
+    taken = list(facts.columns)
+    for c, n in theirs.items():
+        taken.append(fresh(taken, c))
+        out.append(F.col(n).alias(taken[-1]))
+    return joined.select(*out)
 
 
 # -- links per contig and per contig type ---------------------------------------------------------------------------

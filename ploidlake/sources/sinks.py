@@ -13,19 +13,19 @@ def fasta(sequences: DataFrame, path: str, min_length: int = 0, by: str | None =
     (rows.select(by, text).write.partitionBy(by) if by else rows.select(text).write).text(path)
 
 
-def _ids(df: DataFrame, keys: list[str], order: str, ids: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct(order, ids))), lambda x: x[ids]).alias("ids"))
+def _ids(df: DataFrame, keys: list[str], ids: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.sort_array(F.collect_list(ids)).alias("ids"))
 
 
 def allelic_rows(table: DataFrame, path: str, size: int) -> None:
     """Lines ``chrom, start, end, unitigs...``; a bin has as many unitigs as copies at most, so its line is short."""
-    rows = _ids(table, ["chrom", "bin_start"], "unitig", "unitig")
+    rows = _ids(table, ["chrom", "bin_start"], "unitig")
     rows.select(F.concat_ws("\t", "chrom", F.col("bin_start").cast("string"), (F.col("bin_start") + size).cast("string"), F.array_join("ids", "\t")).alias("value")).write.text(path)
 
 
 def clusters(membership: DataFrame, path: str, with_count: bool = True) -> None:
     """Lines ``group, count, ids`` with ids sorted. A line lists its whole group, as the format asks."""
-    rows = _ids(membership.select("group_name", "contig_id").distinct(), ["group_name"], "contig_id", "contig_id")
+    rows = _ids(membership.select("group_name", "contig_id").distinct(), ["group_name"], "contig_id")
     count = [F.size("ids").cast("string")] if with_count else []
     rows.select(F.concat_ws("\t", "group_name", *count, F.array_join("ids", " ")).alias("value")).write.text(path)
 
