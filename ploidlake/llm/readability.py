@@ -42,8 +42,7 @@ def _patterns(lang: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
 def syllables(word: str, lang: str = "", patterns: tuple | None = None) -> int:
     """Syllables of a lower-case word, one at least; each run of digits counts as one."""
     nucleus, hiatus, mute = patterns or _patterns(lang)
-    groups = nucleus.findall(word)
-    n = len(groups) + sum(len(hiatus.findall(g)) for g in groups if len(g) > 1) + len(re.findall(r"\d+", word))
+    n = len(nucleus.findall(word)) + len(hiatus.findall(word)) + len(re.findall(r"\d+", word))
     if n > 1 and mute.search(word):
         n -= 1
     return max(1, n)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ploidlake.functions.ids import clean_id
-from ploidlake.runtime import Stages
+from ploidlake.runtime import Stages, fresh
 
 #: Shares of all rows above the lower edges of the bands; the last band takes the rest.
 BAND_TOPS = (0.02, 0.10, 0.40)
@@ -62,7 +62,7 @@ def top_n(df: DataFrame, group: str, score: str, ties: list[tuple[str, bool]], i
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
-    return found.select(F.col("g").alias(group), F.col("i").alias(item), F.col("r").alias("rank"))
+    return found.select(F.col("g").alias(group), F.col("i").alias(item), F.col("r").alias(fresh([group, item], "rank")))
 
 
 def _hot(staged: DataFrame) -> list:
