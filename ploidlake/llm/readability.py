@@ -24,7 +24,7 @@ WORD_CHAR = r"[\p{L}\p{N}]"
 VOWELS = "aeiouyäöüáàâæéèêëíìîïóòôœúùûÿý"
 #: Per language: vowel pairs that are two nuclei, and a pattern of word ends whose vowel is mute.
 RULES = {
-    "en": ("ia|io(?!us|n)|iu|eo|ua(?!r)|uou|ying", "(?<=[^aeiouyl])(e|es|ed)$|(?<=[aeiouy]l)(e|es|ed)$"),
+    "en": ("(?<![tscgx])i[ao](?!us)|iu|eo|ua(?!r)|uou|ying", "(?<=[^aeiouyl])(e|es|ed)$|(?<=[aeiouy]l)(e|es|ed)$"),
     "de": ("io|ia|iu|eo|ea|ua|uo|oa", "(?!)"),
     "fr": ("éa|éo|éi|éu|aï|oï|oë|ao", "(?<=[^aeiouy])(e|es|ent)$"),
     "es": ("[aeoáéó][aeoáéó]|[íú][aeo]|[aeo][íú]", "(?!)"),
