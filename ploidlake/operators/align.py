@@ -157,26 +157,49 @@ def off_target(aln: DataFrame, n_targets: int) -> DataFrame:
 # -- segments --------------------------------------------------------------------------------------------------------
 
 
-def drop_contained(aln: DataFrame) -> DataFrame:
+#: Width of the tiles that ordered passes work in. Only a summary row per tile meets its neighbours, so that a query and
+#: target with very many records is many units of work.
+TILE = 1 << 17
+
+
+def _tiled(df: DataFrame, tile: int) -> DataFrame:
+    return df.withColumn("__tile", F.floor(F.col("target_start") / F.lit(tile)).cast("bigint"))
+
+
+def drop_contained(aln: DataFrame, tile: int = TILE) -> DataFrame:
     """Without records whose target interval lies in another record's of the same query and target; equal ones drop each other.
 
-    Intervals that occur once are ranked by start: one lies in another if an earlier start reaches its end, or if an equal
-    start ends later. Windows run over distinct intervals, so repeats of one interval cost nothing.
+    An interval that occurs once lies in another if an earlier start reaches its end, or if an equal start ends later. The
+    furthest end of earlier starts comes from the tile and from the tiles before it. Repeats of an interval cost nothing.
     """
     key = ["query_id", "target_id"]
-    spans = aln.groupBy(*key, "target_start", "target_end").agg(F.count(F.lit(1)).alias("n"))
-    by_start = Window.partitionBy(*key).orderBy("target_start")
-    earlier = F.max("target_end").over(by_start.rangeBetween(Window.unboundedPreceding, -1))
-    same = F.max("target_end").over(Window.partitionBy(*key, "target_start"))
-    kept = spans.withColumns({"earlier": earlier, "same": same}).filter((F.col("n") == 1) & F.coalesce(F.col("earlier") < F.col("target_end"), F.lit(True)) & (F.col("same") == F.col("target_end")))
+    spans = _tiled(aln.groupBy(*key, "target_start", "target_end").agg(F.count(F.lit(1)).alias("n")), tile)
+    before = Window.partitionBy(*key).orderBy("__tile").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spans.groupBy(*key, "__tile").agg(F.max("target_end").alias("reach")).withColumn("carry", F.max("reach").over(before)).drop("reach")
+    earlier = F.max("target_end").over(Window.partitionBy(*key, "__tile").orderBy("target_start").rangeBetween(Window.unboundedPreceding, -1))
+    same = F.max("target_end").over(Window.partitionBy(*key, "__tile", "target_start"))
+    seen = spans.withColumns({"earlier": earlier, "same": same}).join(carried, [*key, "__tile"])
+    kept = seen.filter((F.col("n") == 1) & F.coalesce(F.greatest("earlier", "carry") < F.col("target_end"), F.lit(True)) & (F.col("same") == F.col("target_end")))
     return aln.join(kept.select(*key, "target_start", "target_end"), [*key, "target_start", "target_end"], "left_semi")
 
 
-def gap_segments(aln: DataFrame, gap: int) -> DataFrame:
-    """Records with ``seg_no``: a new segment where the start is more than ``gap`` beyond the previous record's end."""
-    w = Window.partitionBy("query_id", "target_id").orderBy("target_start", "line_no")
-    opens = F.coalesce(F.col("target_start") - F.lag("target_end").over(w) > gap, F.lit(False)).cast("int")
-    return aln.withColumn("__open", opens).withColumn("seg_no", F.sum("__open").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("__open")
+def gap_segments(aln: DataFrame, gap: int, tile: int = TILE) -> DataFrame:
+    """Records with ``seg_no``: a new segment where the start is more than ``gap`` beyond the previous record's end.
+
+    The previous record is that before in order of (target_start, line_no) for the same query and target.
+    """
+    key = ["query_id", "target_id"]
+    w = Window.partitionBy(*key, "__tile").orderBy("target_start", "line_no")
+    rows = _tiled(aln, tile)
+    rows = rows.withColumn("__open", F.coalesce(F.col("target_start") - F.lag("target_end").over(w) > gap, F.lit(False)).cast("int"))
+    rows = rows.withColumn("__inner", F.sum("__open").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    order = F.struct("target_start", "line_no")
+    tiles = rows.groupBy(*key, "__tile").agg(F.min("target_start").alias("first"), F.max_by("target_end", order).alias("last"), F.max("__inner").alias("inner"))
+    by = Window.partitionBy(*key).orderBy("__tile")
+    tiles = tiles.withColumn("opens", F.coalesce(F.col("first") - F.lag("last").over(by) > gap, F.lit(False)).cast("int"))
+    tiles = tiles.withColumn("__base", F.sum(F.col("opens") + F.col("inner")).over(by) - F.col("inner")).select(*key, "__tile", "__base")
+    out = rows.join(tiles, [*key, "__tile"]).withColumn("seg_no", (F.col("__base") + F.col("__inner")).cast("int"))
+    return out.select(*aln.columns, "seg_no")
 
 
 def segment_rows(segments: DataFrame) -> DataFrame:

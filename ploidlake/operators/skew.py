@@ -91,18 +91,26 @@ def _tables(df: DataFrame, plan: LoadPlan) -> tuple[DataFrame, DataFrame]:
 
 
 def _placed(df: DataFrame, plan: LoadPlan, replicate: bool) -> DataFrame:
-    """``df`` (with ``key``) and ``task``, ``shard``; with ``replicate``, rows of a heavy key once for each of its shards."""
+    """``df`` (with ``key``) and ``task``, ``shard``.
+
+    With ``replicate``, rows of a heavy key once for each of its shards; else each row in the shard its ``salt`` says.
+    """
     buckets, heavy = _tables(df, plan)
     marked = df.withColumn("b", _bucket("key", len(plan.bucket_task))).join(F.broadcast(buckets), "b").drop("b")
     marked = marked.join(F.broadcast(heavy), F.col("key") == F.col("hk"), "left").drop("hk")
     if replicate:
         marked = marked.select("*", F.posexplode(F.coalesce("ts", F.array("t"))).alias("shard", "task"))
-    else:  # the row's place in the scan: copies of one row spread as well
-        marked = marked.withColumn("shard", F.when(F.col("ts").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.size("ts"))).cast("int"))
+    else:
+        marked = marked.withColumn("shard", F.when(F.col("ts").isNull(), 0).otherwise(F.pmod("salt", F.size("ts"))).cast("int")).drop("salt")
         marked = marked.withColumn("task", F.when(F.col("ts").isNull(), F.col("t")).otherwise(F.get("ts", F.col("shard"))))
     return marked.drop("t", "ts").repartitionById(plan.tasks, F.col("task"))
 
 
+def _salt(df: DataFrame) -> Column:
+    """A number of the row and its partition: repeated rows spread too, and a task that runs again deals alike."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind], F.spark_partition_id())
+
+
 def _numbered(df: DataFrame, key: str, letter: str) -> tuple[DataFrame, dict[str, str]]:
     """Rows with a key, columns under names of our own, so that none can clash; and the columns' names."""
     names = {c: f"{letter}{i}" for i, c in enumerate(df.columns) if c != key}
@@ -115,9 +123,9 @@ def keyed_totals(facts: DataFrame, key: str, sums: dict[str, Column | str], matc
     ``sums`` maps result columns to summed columns (nulls count for nothing; a sum of nulls only is null). Keys that
     ``match`` lacks get nulls there; rows without key give no result. Repeated rows of ``facts`` count each time; of
     several ``match`` rows of one key, the smallest value of each column is taken. Empty ``facts`` give no rows. Other
-    columns of ``facts`` are ignored; columns of ``match`` named like the key or a result get underscores.
+    columns of ``facts`` only help to deal its rows; columns of ``match`` named like the key or a result get underscores.
     """
-    slim = facts.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), *[(F.col(c) if isinstance(c, str) else c).alias(f"s{i}") for i, c in enumerate(sums.values())])
+    slim = facts.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), _salt(facts).alias("salt"), *[(F.col(c) if isinstance(c, str) else c).alias(f"s{i}") for i, c in enumerate(sums.values())])
     plan = plan or plan_loads(slim, "key")
     placed = _placed(slim, plan, replicate=False)
     extra: dict[str, str] = {}
@@ -144,7 +152,7 @@ def lookup(facts: DataFrame, match: DataFrame, key: str, plan: LoadPlan | None =
     a, own = _numbered(facts, key, "f")
     b, theirs = _numbered(match, key, "m")
     plan = plan or plan_loads(a, "key")
-    joined = _placed(a, plan, replicate=False).join(_placed(b, plan, replicate=True), ["task", "shard", "key"], how)
+    joined = _placed(a.withColumn("salt", _salt(a)), plan, replicate=False).join(_placed(b, plan, replicate=True), ["task", "shard", "key"], how)
     out = [F.col("key").alias(key) if c == key else F.col(own[c]).alias(c) for c in facts.columns]
     taken = list(facts.columns)
     for c, n in theirs.items():
@@ -157,12 +165,12 @@ def lookup(facts: DataFrame, match: DataFrame, key: str, plan: LoadPlan | None =
 
 
 def link_facts(links: DataFrame) -> DataFrame:
-    """``(contig_id, links, copies)``: a row for each contig of each count, once for each ``count_id``.
+    """``(contig_id, count_id, links, copies)``: a row for each contig of each count, once for each ``count_id``.
 
     ``copies`` says how many stored rows it stands for. A contig linked with itself counts once; null ids are left out.
     """
     once = links.groupBy("count_id", "ctg_i", "ctg_j").agg(F.max("links").alias("links"), F.count(F.lit(1)).alias("copies"))
-    return once.select(F.explode(F.array_distinct(F.array("ctg_i", "ctg_j"))).alias("contig_id"), "links", "copies").filter(F.col("contig_id").isNotNull())
+    return once.select(F.explode(F.array_distinct(F.array("ctg_i", "ctg_j"))).alias("contig_id"), "count_id", "links", "copies").filter(F.col("contig_id").isNotNull())
 
 
 def contig_totals(links: DataFrame, types: DataFrame) -> DataFrame:
@@ -197,7 +205,7 @@ def hot_keys(links: DataFrame, types: DataFrame, contig_share: float = 0.04, typ
 
     n_links, n_types = links.count(), types.count()
     contigs = keyed_totals(link_facts(links), "contig_id", {"stored_rows": "copies"}).filter(F.col("stored_rows") >= contig_share * n_links - 1e-9)
-    kinds = keyed_totals(types.select(clean_label("contig_type").alias("contig_type")), "contig_type", {}).filter(F.col("n_rows") >= type_share * n_types - 1e-9)
+    kinds = keyed_totals(types.select("contig_id", clean_label("contig_type").alias("contig_type")), "contig_type", {}).filter(F.col("n_rows") >= type_share * n_types - 1e-9)
     return contigs.select(F.lit("contig_id").alias("key_name"), F.col("contig_id").alias("key_value")).unionByName(
         kinds.select(F.lit("contig_type").alias("key_name"), F.col("contig_type").alias("key_value"))
     )

@@ -23,13 +23,15 @@ def test_contained_equals_pairwise_rule(spark):
     rnd = random.Random(5)
     items = [("q", "t", s := rnd.randrange(40), s + rnd.randrange(1, 20)) for _ in range(60)]
     want = [i for i, (_, _, s, e) in enumerate(items) if not any(j != i and items[j][2] <= s and items[j][3] >= e for j in range(len(items)))]
-    assert sorted(r.line_no for r in align.drop_contained(paf(spark, items)).collect()) == want
+    for tile in (7, 1000):
+        assert sorted(r.line_no for r in align.drop_contained(paf(spark, items), tile).collect()) == want
 
 
 def test_gap_segments_limits(spark):
     a = paf(spark, [("q", "t", 0, 100), ("q", "t", 600, 700), ("q", "t", 1201, 1300), ("q", "t", 1210, 1220)])
-    got = align.gap_segments(a, 500)
-    assert [r.seg_no for r in got.orderBy("line_no").collect()] == [0, 0, 1, 1]
+    for tile in (50, 400, 10_000):
+        got = align.gap_segments(a, 500, tile)
+        assert [r.seg_no for r in got.orderBy("line_no").collect()] == [0, 0, 1, 1]
 
 
 def test_segment_merge(spark):
