@@ -124,7 +124,7 @@ def merge(parts: DataFrame, keys: list[str], delta: float = DELTA, fan_in: int =
     """
     schema = _schema(parts, keys)
     if parts.rdd.getNumPartitions() > fan_in:
-        salted = parts.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(fan_in)))
+        salted = parts.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
         parts = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys).select(parts.columns).mapInArrow(_clusterer(keys, delta, True, False), schema)
     return parts.select("low", "high", *keys, "means", "weights").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_clusterer(keys, delta, True, True), schema)
 
