@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ploidlake.functions import scalar as S
 from ploidlake.operators.skew import lookup
 from ploidlake.params import Links
+from ploidlake.runtime import Stages
 
 
 def pair_links(hic_links: DataFrame) -> DataFrame:
@@ -67,10 +68,12 @@ def density(links: DataFrame, contigs: DataFrame) -> DataFrame:
 
 def normalised(links: DataFrame) -> DataFrame:
     """Links over the root of both contigs' totals, scaled so that their sum stays. Hot contigs are joined in shards."""
-    total = adjacency(links).groupBy("contig_id").agg(F.sum("links").cast("double").alias("total"))
+    stages = Stages(links.sparkSession, "normalised")
+    links = stages.write(links)
+    total = stages.write(adjacency(links).groupBy("contig_id").agg(F.sum("links").cast("double").alias("total")))
     both = lookup(links, total.withColumnsRenamed({"contig_id": "ctg_i", "total": "total_i"}), "ctg_i")
-    both = lookup(both, total.withColumnsRenamed({"contig_id": "ctg_j", "total": "total_j"}), "ctg_j")
-    raw = both.select("ctg_i", "ctg_j", "links", (F.col("links") / F.sqrt(F.col("total_i") * F.col("total_j"))).alias("raw"))
+    both = lookup(stages.write(both), total.withColumnsRenamed({"contig_id": "ctg_j", "total": "total_j"}), "ctg_j")
+    raw = stages.write(both).select("ctg_i", "ctg_j", "links", (F.col("links") / F.sqrt(F.col("total_i") * F.col("total_j"))).alias("raw"))
     sums = raw.agg(F.sum("links"), F.sum("raw")).first()
     return raw.select("ctg_i", "ctg_j", (F.col("raw") * F.lit(float(sums[0] or 0)) / F.lit(float(sums[1] or 1))).alias("norm_links"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ploidlake.runtime import fresh, shuffle_width
+from ploidlake.runtime import Stages, fresh, shuffle_width
 
 #: Hash buckets for the load estimate; the plan on the driver has this many rows plus one per shard.
 BUCKETS = 1024
@@ -178,7 +178,8 @@ def contig_totals(links: DataFrame, types: DataFrame) -> DataFrame:
     from ploidlake.functions.ids import clean_label
 
     named = types.select("contig_id", clean_label("contig_type").alias("contig_type"))
-    got = keyed_totals(link_facts(links), "contig_id", {"stored_rows": "copies", "links_total": "links"}, match=named)
+    facts = Stages(links.sparkSession, "links").write(link_facts(links))  # the load estimate reads its keys again
+    got = keyed_totals(facts, "contig_id", {"stored_rows": "copies", "links_total": "links"}, match=named)
     return got.select("contig_id", "stored_rows", F.col("n_rows").alias("n_counts"), "links_total", "contig_type")
 
 
@@ -188,7 +189,8 @@ def type_totals(links: DataFrame, types: DataFrame) -> DataFrame:
 
     rows = types.select("contig_id", clean_label("contig_type").alias("contig_type")).filter(F.col("contig_type").isNotNull())
     stored = keyed_totals(rows, "contig_type", {})
-    per_contig = keyed_totals(link_facts(links), "contig_id", {"links_total": "links"}, match=rows)
+    stages = Stages(links.sparkSession, "links")
+    per_contig = stages.write(keyed_totals(stages.write(link_facts(links)), "contig_id", {"links_total": "links"}, match=rows))
     linked = keyed_totals(per_contig.filter(F.col("contig_type").isNotNull()), "contig_type", {"links_total": "links_total"})
     once = keyed_totals(rows.groupBy("contig_id").agg(F.min("contig_type").alias("contig_type")), "contig_type", {})
     return (
@@ -204,7 +206,8 @@ def hot_keys(links: DataFrame, types: DataFrame, contig_share: float = 0.04, typ
     from ploidlake.functions.ids import clean_label
 
     n_links, n_types = links.count(), types.count()
-    contigs = keyed_totals(link_facts(links), "contig_id", {"stored_rows": "copies"}).filter(F.col("stored_rows") >= contig_share * n_links - 1e-9)
+    facts = Stages(links.sparkSession, "links").write(link_facts(links))
+    contigs = keyed_totals(facts, "contig_id", {"stored_rows": "copies"}).filter(F.col("stored_rows") >= contig_share * n_links - 1e-9)
     kinds = keyed_totals(types.select("contig_id", clean_label("contig_type").alias("contig_type")), "contig_type", {}).filter(F.col("n_rows") >= type_share * n_types - 1e-9)
     return contigs.select(F.lit("contig_id").alias("key_name"), F.col("contig_id").alias("key_value")).unionByName(
         kinds.select(F.lit("contig_type").alias("key_name"), F.col("contig_type").alias("key_value"))
