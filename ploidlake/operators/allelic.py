@@ -88,7 +88,7 @@ def repair_bins(table: DataFrame, lengths: DataFrame, p: Bins = Bins()) -> DataF
     Between two neighbouring rows of a unitig the rows near enough to both lack it. A row that got unitigs keeps its
     ``top_n`` longest; other rows stay as they are. Unknown lengths count as 0; ties keep the smaller id.
     """
-    rows = numbered(table.select("chrom", "bin_start", "unitig").distinct())
+    rows = Stages(table.sparkSession, "repair").write(numbered(table.select("chrom", "bin_start", "unitig").distinct()))
     after = F.lead("row_no").over(Window.partitionBy("chrom", "unitig").orderBy("row_no"))
     r = p.search_range
     gaps = rows.select("chrom", "unitig", F.col("row_no").alias("a"), after.alias("b")).filter(f"b - a > 1 and b - a <= {2 * r}")
@@ -113,6 +113,7 @@ def thin_bins(table: DataFrame, lengths: DataFrame, types: DataFrame, p: Bins =
 
     An ordered walk along each chromosome; its rows are bins, so a group is as large as a chromosome and not as the data.
     """
+    table = Stages(table.sparkSession, "thin").write(table)
     ends = table.agg(F.min(F.struct("chrom", "bin_start")).alias("a"), F.max(F.struct("chrom", "bin_start")).alias("z")).first()
     ends = [(r.chrom, r.bin_start) for r in (ends.a, ends.z) if r is not None]  # the table's first and last row
     rows = _rows(table, lengths, types)

@@ -27,11 +27,12 @@ def reassign(contigs: DataFrame, types: DataFrame, links: DataFrame, membership:
     grouped = stages.write(membership.select("contig_id", "group_name").distinct())
     rows = contigs.join(grouped, "contig_id", "left_anti").join(types.select("contig_id", "contig_type"), "contig_id", "left")
     rows = rows.select("contig_id", "length", "re_sites", multiplicity(F.coalesce("contig_type", F.lit("haplotig"))).alias("copies"))
-    edges = sorted({float(x) for x in rows.approxQuantile("length", [i / rounds for i in range(1, rounds)], 0.0 if rounds > 100 else 0.001) or []}) if rounds > 1 else []
+    waiting = stages.write(rows)
+    edges = sorted({float(x) for x in waiting.approxQuantile("length", [i / rounds for i in range(1, rounds)], 0.0 if rounds > 100 else 0.001) or []}) if rounds > 1 else []
     band = F.lit(0)
     for e in edges:
         band = band + (F.col("length") < e).cast("int")
-    waiting = stages.write(rows.withColumn("band", band))
+    waiting = waiting.withColumn("band", band)
     near = stages.write(adjacency(links).join(waiting.select("contig_id"), "contig_id", "left_semi"))
     sites = group_sites(grouped, contigs)
     now = grouped

@@ -17,9 +17,9 @@ def valid_windows(depth_win: DataFrame) -> DataFrame:
 
 
 def mean_depth(windows: DataFrame) -> DataFrame:
-    """``(contig_id, average_depth)``, rounded to 4 decimals; sums are exact decimals, so the order of rows is no matter."""
+    """``(contig_id, average_depth)``; sums are exact decimals, so the order of rows is no matter."""
     total = F.sum(F.round("depth", 6).cast("decimal(24,6)")).cast("double")
-    return windows.groupBy("contig_id").agg(F.round(total / F.count("depth"), 4).alias("average_depth"))
+    return windows.groupBy("contig_id").agg((total / F.count("depth")).alias("average_depth"))
 
 
 def classify(means: DataFrame, scheme: str = "base28") -> DataFrame:

@@ -11,24 +11,38 @@ from ploidlake.operators.align import oriented
 from ploidlake.params import Redundancy
 from ploidlake.runtime import Stages
 
-_PLAN = "long_id string, short_id string, first_line bigint, falling boolean, run int, coverage double, r2 double, short_first boolean, cut_short bigint, cut_long bigint, short_end string, long_end string"
+_PLAN = "falling boolean, run int, coverage double, r2 double, short_first boolean, cut_short bigint, cut_long bigint, short_end string, long_end string"
 
 
 def join_plans(aln: DataFrame, p: Redundancy = Redundancy()) -> DataFrame:
-    """A row per collinear pair of contigs: how its sequences join. A group is one pair's distinct alignments."""
+    """A row per collinear pair of contigs: how its sequences join.
+
+    A pair's distinct alignments stand in one row, which a vectorised function plans by the batch of pairs. Pairs of one
+    alignment have no correlation and are left out before.
+    """
+    sides = ["short_start", "short_end", "long_start", "long_end"]
     rows = oriented(aln).filter("long_id <> short_id")
-    rows = rows.groupBy("long_id", "short_id", "short_start", "short_end", "long_start", "long_end").agg(F.max("long_len").alias("long_len"), F.max("short_len").alias("short_len"), F.min("line_no").alias("line_no"))
+    rows = rows.groupBy("long_id", "short_id", *sides).agg(F.max("long_len").alias("long_len"), F.max("short_len").alias("short_len"), F.min("line_no").alias("line_no"))
+    pairs = rows.groupBy("long_id", "short_id").agg(
+        F.max("long_len").alias("long_len"), F.max("short_len").alias("short_len"), F.min("line_no").alias("first_line"), F.sort_array(F.collect_list(F.struct("line_no", *sides))).alias("places"), F.count(F.lit(1)).alias("n")
+    )
+    if p.min_r2 > 0:
+        pairs = pairs.filter("n > 1")
+    min_r2, coverage = p.min_r2, p.lis_coverage
+    kind = f"struct<{_PLAN.replace(' ', ':').replace(',:', ', ')}>"
+
+    def plan(places, short_len, long_len):
+        import pyarrow as pa
 
-    def plan(pdf):
-        import pandas as pd
+        def one(rows, s, t):
+            return join_plan([tuple(r[c] for c in sides) for r in rows], s, t, min_r2, coverage)
 
-        pdf = pdf.sort_values("line_no")
-        got = join_plan(list(pdf[["short_start", "short_end", "long_start", "long_end"]].itertuples(index=False, name=None)), int(pdf["short_len"].max()), int(pdf["long_len"].max()), p.min_r2, p.lis_coverage)
-        head = {"long_id": pdf["long_id"].iloc[0], "short_id": pdf["short_id"].iloc[0], "first_line": int(pdf["line_no"].min())}
-        names = [x.split()[0] for x in _PLAN.split(", ")]
-        return pd.DataFrame([head | got] if got else [], columns=names)
+        made = [one(r, s, t) for r, s, t in zip(places.to_pylist(), short_len.to_pylist(), long_len.to_pylist(), strict=True)]
+        fields = [pa.field(n, {"boolean": pa.bool_(), "int": pa.int32(), "double": pa.float64(), "bigint": pa.int64(), "string": pa.string()}[k]) for n, k in (x.split() for x in _PLAN.split(", "))]
+        return pa.array(made, pa.struct(fields))
 
-    return rows.groupBy("long_id", "short_id").applyInPandas(plan, _PLAN)
+    planned = pairs.withColumn("plan", F.arrow_udf(plan, kind)("places", "short_len", "long_len")).filter("plan is not null")
+    return planned.select("long_id", "short_id", "first_line", "plan.*")
 
 
 def greedy_pairs(pairs: DataFrame, a: str, b: str, order: str) -> DataFrame:

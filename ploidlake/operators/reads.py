@@ -58,3 +58,13 @@ def group_reads(parts: DataFrame, membership: DataFrame) -> DataFrame:
 def mate_names(group_reads_: DataFrame) -> DataFrame:
     """Names of both mates of each read."""
     return group_reads_.select("group_name", F.explode(F.array(F.concat("read", F.lit("/1")), F.concat("read", F.lit("/2")))).alias("read"))
+
+
+def good_pairs(records: DataFrame, min_mapq: int = 1, max_edits: int = 3) -> DataFrame:
+    """Records with at least ``min_mapq`` and at most ``max_edits`` edits (both bounds inclusive); nulls are left out."""
+    return records.filter((F.col("mapq") >= min_mapq) & (F.col("nm") <= max_edits))
+
+
+def good_reads(reads: DataFrame, min_length: int = 1, min_quality: float = 0.0) -> DataFrame:
+    """Reads at least as long and as good as asked; nulls are left out."""
+    return reads.filter((F.col("length") >= min_length) & (F.col("quality") >= min_quality))

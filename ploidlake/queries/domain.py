@@ -180,7 +180,7 @@ def _records(name: str, source: str) -> str:
 _A, _SELF = _records("a", "paf"), _records("a", "self_paf")
 _PRIMARY = "coalesce(right(tp, 1) <> 'S', true)"
 _DEPTH = "w as (select contig_id, win_start, max(depth) as depth from depth_win where contig_id is not null and depth >= 0 and isfinite(depth) group by all)"
-_MEAN = f"{_DEPTH}, m as (select contig_id, round(cast(sum(cast(round(depth, 6) as decimal(24, 6))) as double) / count(*), 4) as average_depth from w group by 1)"
+_MEAN = f"{_DEPTH}, m as (select contig_id, cast(sum(cast(round(depth, 6) as decimal(24, 6))) as double) / count(*) as average_depth from w group by 1)"
 _TYPES = "t as (select contig_id, min(nullif(lower(trim(contig_type, E' \\t\\r\\n')), '')) as contig_type from contig_types where contig_id is not null group by 1)"
 _MULT = "case {0} when 'diplotig' then 2 when 'triplotig' then 3 when 'tetraplotig' then 4 else 1 end"
 _CONTIGS = "c as (select contig_id, max(length) as length, max(length) // 256 + 1 as re_sites from (select query_id as contig_id, query_len as length from a union all select target_id, target_len from a) group by 1)"
