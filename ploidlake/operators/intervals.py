@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ploidlake.runtime import Stages
+from ploidlake.runtime import Stages, partition_bound
 
 #: Width of a tile of the start coordinate; a list has at most half as many intervals.
 TILE = 1 << 19
@@ -124,7 +124,7 @@ def interval_lists(df: DataFrame, keys: list[str], start: str, end: str, stages:
     ints = T.ArrayType(T.LongType())
     schema = T.StructType([*kinds, T.StructField("tile", T.LongType()), T.StructField("node", T.LongType()), T.StructField("starts", ints), T.StructField("ends", ints)])
     by = [*keys, "tile"]
-    parts = rows.rdd.getNumPartitions()
+    parts = partition_bound(rows)
     partial = rows.mapInArrow(_merger(keys, lists=False, hold_last=False), schema)
     if parts > fan_in:
         partial = stages.write(partial)

@@ -67,6 +67,12 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partition_bound(df: DataFrame) -> int:
+    """How many partitions ``df`` has, or may have where a shuffle decides it; nothing is run to find out."""
+    exchanges = df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    return exchanges * shuffle_width(df.sparkSession) if exchanges else df.rdd.getNumPartitions()
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, or it with underscores until no column (compared without case) has it."""
     lower = {x.lower() for x in taken}
