@@ -5,7 +5,8 @@ m, and m to all others of the set; the new set of a vertex is the union of what
 smallest vertex of every component holds the whole component and each other vertex holds just that smallest one. Sets are
 rows, never arrays, so a component with a third of all vertices is no unit of work: the minima form with partial
 aggregation, and the join that hands them out gives vertices with very large sets (fewer than a fixed number) to all tasks,
-so their rows stay where they are.
+so their rows stay where they are. Every few rounds finished components leave: those whose vertices all hold just their
+smallest member, with no pair that leads out. Long chains then don't make the others go round with them.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ploidlake.functions.ids import clean_id
+from ploidlake.operators.skew import lookup
 from ploidlake.runtime import Stages
 
 #: A vertex with more than one in this many rows of the relation is handed out by broadcast; there are fewer than this.
 BIG_SETS = 1000
 #: Rounds are logarithmic in the longest chain; this many would need a chain beyond any number of records.
 MAX_ROUNDS = 100
+#: Rounds between two looks for finished components.
+SETTLE_EVERY = 3
 
 
 def hash_to_min(edges: DataFrame, left: str, right: str) -> DataFrame:
@@ -32,25 +36,34 @@ def hash_to_min(edges: DataFrame, left: str, right: str) -> DataFrame:
     pairs = edges.select(F.col(left).alias("v"), F.col(right).alias("u")).filter("v is not null and u is not null and v <> u")
     pairs = pairs.select(F.least("v", "u").alias("v"), F.greatest("v", "u").alias("u")).distinct()
     links = pairs.select(F.explode(F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")), F.struct(F.col("v"), F.col("v").alias("u")), F.struct(F.col("u").alias("v"), F.col("u")))).alias("p"))
-    sets, state = stages.write(links.select("p.v", "p.u").distinct()), None
-    for _ in range(MAX_ROUNDS):
+    sets, state, settled = stages.write(links.select("p.v", "p.u").distinct()), None, []
+    for k in range(1, MAX_ROUNDS + 1):
         seen = _state(sets)
-        if seen == state:
+        if seen == state or not seen[0]:
             break
         state = seen
-        lowest = sets.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n"))
-        lowest = stages.write(lowest)
+        lowest = stages.write(sets.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")))
         limit = max(1000, seen[0] // BIG_SETS)
-        big = F.broadcast(lowest.filter(F.col("n") > limit).select("v", F.col("m").alias("bm")))  # fewer than BIG_SETS rows
+        big = F.broadcast(lowest.filter(F.col("n") > limit).select("v", F.col("m").alias("bm"), F.col("n").alias("bn")))  # fewer than BIG_SETS rows
         marked = sets.join(big, "v", "left")
-        told = marked.filter("bm is null").drop("bm").join(lowest.filter(F.col("n") <= limit).select("v", "m"), "v")
-        told = told.unionByName(marked.filter("bm is not null").withColumnRenamed("bm", "m"))
+        told = marked.filter("bm is null").drop("bm", "bn").join(lowest.filter(F.col("n") <= limit), "v")
+        told = told.unionByName(marked.filter("bm is not null").withColumnsRenamed({"bm": "m", "bn": "n"}))
+        if k % SETTLE_EVERY == 0:
+            told = stages.write(told)
+            both = lookup(told, lowest.select(F.col("v").alias("u"), F.col("m").alias("mu")), "u")
+            unfinished = both.filter("m <> mu or (v <> m and n > 1)").select(F.explode(F.array("m", "mu")).alias("m")).distinct()
+            unfinished = stages.write(unfinished)
+            settled.append(stages.write(lowest.select("v", "m").join(unfinished, "m", "left_anti").select("v", F.col("m").alias("g"))))
+            told = told.join(unfinished, "m", "left_semi")
         sent = told.select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("p"))
         done, sets = sets, stages.write(sent.select("p.v", "p.u").distinct())
         stages.drop(done, lowest)
     else:
         raise RuntimeError(f"not stable after {MAX_ROUNDS} rounds")
-    return sets.groupBy("v").agg(F.min("u").alias("g")).select(F.col("v").alias("vertex"), F.col("g").alias("group"))
+    found = sets.groupBy("v").agg(F.min("u").alias("g"))
+    for part in settled:
+        found = found.unionByName(part)
+    return found.select(F.col("v").alias("vertex"), F.col("g").alias("group"))
 
 
 def _state(sets: DataFrame) -> tuple:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ploidlake.operators.skew import lookup
-from ploidlake.runtime import Stages
+from ploidlake.runtime import Stages, partition_bound
 
 DELTA = 200
 #: Certified bound of the rank error, beyond the half step that a finite number of values can't avoid.
@@ -123,7 +123,7 @@ def merge(parts: DataFrame, keys: list[str], delta: float = DELTA, fan_in: int =
     Merges in two levels, so that a group with a digest in each of very many tasks or days is merged by several tasks.
     """
     schema = _schema(parts, keys)
-    if parts.rdd.getNumPartitions() > fan_in:
+    if partition_bound(parts) > fan_in:
         salted = parts.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(fan_in)))
         parts = salted.repartition(*keys, "__salt").sortWithinPartitions(*keys).select(parts.columns).mapInArrow(_clusterer(keys, delta, True, False), schema)
     return parts.select("low", "high", *keys, "means", "weights").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_clusterer(keys, delta, True, True), schema)
