@@ -16,6 +16,27 @@ def _bounded(s, d):
     return found.groupBy("contig_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("percentiles"), F.min(F.col("rank_error") <= digests.MAX_ERROR + 0.5 / F.col("n") + 1e-9).alias("within_bound"))
 
 
+def _days(s, d):
+    """``(contig_id, load_day, windows, low, high)`` as the digests of single load days have them."""
+    from pyspark.sql import functions as F
+
+    daily = digests.digests(digests.valid_depths(table(s, d, "depth_win")), ["contig_id", "load_day"], "depth")
+    return daily.select("contig_id", "load_day", F.expr("cast(round(aggregate(weights, 0D, (a, w) -> a + w)) as bigint)").alias("windows"), "low", "high")
+
+
+def _limits(s, d):
+    """``(source, within_repeats, sum_kept)``: whether copies stay within the limit and within one of what is planned."""
+    from pyspark.sql import functions as F
+
+    targets = table(s, d, "mix_targets")
+    sizes = mixing._ready(table(s, d, "documents"), mixing.TOKENIZER)
+    planned = mixing.plan(sizes, targets)
+    want = s.createDataFrame([(x["source"], int(x["max_repeats"]), float(x["copies"]) * x["docs"]) for x in planned], "source string, most int, copies_planned double")
+    got = mixing.mix(sizes, planned).groupBy("source").agg(F.sum("copies").alias("copies"), F.max("copies").alias("top"))
+    zero = F.lit(0)
+    return want.join(got, "source", "left").select("source", (F.coalesce("top", zero) <= F.col("most")).alias("within_repeats"), (F.abs(F.coalesce("copies", zero) - F.col("copies_planned")) <= 1.000001).alias("sum_kept"))
+
+
 QUERIES = {
     "p2_found": lambda s, d: components.contig_groups(table(s, d, "self_paf")),
     "p2_group_sizes": lambda s, d: components.group_sizes(table(s, d, "self_paf")),
@@ -24,6 +45,7 @@ QUERIES = {
     "p5_found": lambda s, d: digests.uneven_contigs(table(s, d, "depth_win")),
     "p5_percentiles": lambda s, d: digests.depth_percentiles(table(s, d, "depth_win"), PERCENTS),
     "p5_certified": _bounded,
+    "p5_days": _days,
     "p6_found": lambda s, d: cooccur.tied_contigs(table(s, d, "read_placement")),
     "p6_pairs": lambda s, d: cooccur.contig_pairs(table(s, d, "read_placement")),
     "p7_found": lambda s, d: leakage.leaked_passages(table(s, d, "documents"), table(s, d, "eval_items")),
@@ -32,8 +54,10 @@ QUERIES = {
     "p8_found": lambda s, d: mixing.short_sources(table(s, d, "documents"), table(s, d, "mix_targets")),
     "p8_mixture": lambda s, d: mixing.mixture(table(s, d, "documents"), table(s, d, "mix_targets")),
     "p8_shares": lambda s, d: mixing.shares(table(s, d, "documents"), table(s, d, "mix_targets")),
+    "p8_limits": _limits,
     "p9_found": lambda s, d: readability.demanding(table(s, d, "documents")),
     "p9_levels": lambda s, d: readability.reading_levels(table(s, d, "documents"), "doc_id", "text", "lang"),
+    "p9_counts": lambda s, d: readability.reading_levels(table(s, d, "documents"), "doc_id", "text", "lang").select("doc_id", "n_words", "n_sentences", "n_chars"),
     "p9_profile": lambda s, d: readability.level_profile(table(s, d, "documents")),
 }
 
@@ -65,8 +89,15 @@ SQL = {
     "p4_ranked": _RANKED,
     "p5_found": f"select contig_id from {_DEPTHS} group by 1 having count(*) >= 20 and quantile_cont(depth, 0.9) >= 3 * median(depth)",
     "p5_certified": f"select contig_id, count(*) as n, cast({len(PERCENTS)} as bigint) as percentiles, true as within_bound from {_DEPTHS} group by 1",
+    "p5_days": """
+select contig_id, load_day, count(*) as windows, min(depth) as low, max(depth) as high from
+  (select contig_id, win_start, max(depth) as depth, cast(min(loaded_at) as date) as load_day from depth_win where contig_id is not null and depth >= 0 and isfinite(depth) group by 1, 2) group by 1, 2""",
     "p6_found": f"select ctg_i, ctg_j from ({_PAIRS}) where links >= 8 and links * all_reads >= 5 * reads_i * reads_j",
     "p6_pairs": _PAIRS,
+    "p8_limits": "select source, true as within_repeats, true as sum_kept from mix_targets where source is not null",
+    "p9_counts": r"""
+select doc_id, w as n_words, case when w > 0 then s else 0 end as n_sentences, c as n_chars from (
+  select doc_id, coalesce(len(regexp_extract_all(text, '[^\s\p{Z}]*[\p{L}\p{N}][^\s\p{Z}]*')), 0) as w, 1 + coalesce(len(regexp_extract_all(text, '[.!?…][\s\p{Z}]+\p{Lu}')), 0) as s, coalesce(len(regexp_extract_all(text, '[\p{L}\p{N}]')), 0) as c from documents)""",
     "p9_found": r"""
 select distinct doc_id from (
   select doc_id, len(regexp_extract_all(text, '[^\s\p{Z}]*[\p{L}\p{N}][^\s\p{Z}]*')) as w, 1 + len(regexp_extract_all(text, '[.!?…][\s\p{Z}]+\p{Lu}')) as s, len(regexp_extract_all(text, '[\p{L}\p{N}]')) as c from documents)
