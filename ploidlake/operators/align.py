@@ -9,6 +9,7 @@ from ploidlake.functions import scalar as S
 from ploidlake.functions.ids import clean_id
 from ploidlake.operators.intervals import periods_and_gaps
 from ploidlake.params import Redundancy, Segments
+from ploidlake.runtime import Stages
 
 
 def alignments(paf: DataFrame) -> DataFrame:
@@ -86,6 +87,9 @@ def first_direction(aln: DataFrame) -> DataFrame:
 def union_coverage(aln: DataFrame) -> DataFrame:
     """Per directed pair: length of the union of query and of target intervals, and the shares covered."""
 
+    needed = ["query_id", "target_id", "query_len", "target_len", "query_start", "query_end", "target_start", "target_end", "strand", "match_len"]
+    aln = Stages(aln.sparkSession, "coverage").write(aln.select(needed))
+
     def side(name: str) -> DataFrame:
         spans = periods_and_gaps(aln, ["query_id", "target_id"], f"{name}_start", f"{name}_end").filter("span_kind = 'period'")
         return spans.groupBy("query_id", "target_id").agg(F.sum(F.col("span_end") - F.col("span_start")).alias(f"{name}_covered"))

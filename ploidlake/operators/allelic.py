@@ -52,10 +52,14 @@ def mad_filter(aln: DataFrame, times: float = 3.0) -> DataFrame:
         middle = ranked.filter((F.col("rn") >= F.floor((F.col("n") + 1) / 2)) & (F.col("rn") <= F.floor(F.col("n") / 2) + 1))
         return middle.groupBy(*key).agg(F.avg(column).alias(out))
 
+    stages = Stages(aln.sparkSession, "mad")
+    aln = stages.write(aln)
     medians = median(aln, "target_start", "ms").join(median(aln, "target_end", "me"), key)
     off = aln.join(medians, key).withColumns({"off_s": F.abs(F.col("target_start") - F.col("ms")), "off_e": F.abs(F.col("target_end") - F.col("me"))}).drop("ms", "me")
+    off = stages.write(off)
+    stages.drop(aln)
     spread = median(off, "off_s", "ds").join(median(off, "off_e", "de"), key)
-    return off.join(spread, key).filter((F.col("off_s") <= times * F.col("ds")) & (F.col("off_e") <= times * F.col("de"))).select(aln.columns)
+    return off.join(spread, key).filter((F.col("off_s") <= times * F.col("ds")) & (F.col("off_e") <= times * F.col("de"))).drop("off_s", "off_e", "ds", "de")
 
 
 def allelic_table(aln: DataFrame, p: Bins = Bins()) -> DataFrame:

@@ -231,6 +231,13 @@ top as (select * from (select *, row_number() over (partition by target_id, bin_
 _TABLE = f"""{_A}, ft as (select * from a where {_PRIMARY} and match_len >= {BINS.min_match} and query_len >= {BINS.min_query}), {_best("ft")}, {_tops("ft", BINS.chromosomes)},
 ht as (select ft.* from ft join b using (query_id, target_id) where target_id in (select target_id from tops)), {_overlaps("ht")},
 tab as (select target_id as chrom, bin_start, query_id as unitig, cast(rank as int) as rank from top)"""
+_REPAIRED = f"""{_TABLE}, {_UNITIGS}, nr as (select chrom, bin_start, row_number() over (partition by chrom order by bin_start) as row_no from (select distinct chrom, bin_start from tab)),
+e as (select chrom, unitig, row_no from tab join nr using (chrom, bin_start)),
+mi as (select distinct r.chrom, r.row_no, p.unitig from nr r join e p on p.chrom = r.chrom and p.row_no between r.row_no - {BINS.search_range} and r.row_no - 1 join e q on q.chrom = r.chrom and q.unitig = p.unitig and q.row_no between r.row_no + 1 and r.row_no + {BINS.search_range}
+  where not exists (select 1 from e where e.chrom = r.chrom and e.row_no = r.row_no and e.unitig = p.unitig)),
+al as (select *, 0 as new from e union all select chrom, unitig, row_no, 1 from mi),
+k as (select al.*, max(new) over (partition by chrom, row_no) as grew, row_number() over (partition by chrom, row_no order by coalesce(length, 0) desc, unitig) as place from al left join u on u.contig_id = al.unitig),
+rep as (select chrom, bin_start, cast(row_no as int) as row_no, unitig from k join nr using (chrom, row_no) where grew = 0 or place <= {BINS.top_n})"""
 _MATES = f"""{_SELF}, {_CONTIGS}, m0 as (select least((query_id, query_start), (target_id, target_start)) as i, greatest((query_id, query_start), (target_id, target_start)) as j from a where strand = '+' and query_id <> target_id),
 m as (select i[1] as ctg_i, i[2] as a, x.length as len_i, j[1] as ctg_j, j[2] as b, y.length as len_j from m0 join c x on x.contig_id = i[1] join c y on y.contig_id = j[1])"""
 _FLANK = "({0} + 1 <= 20000 or {0} + 1 > {1} - 20000)"
@@ -296,13 +303,18 @@ select line_no, query_id, target_id from a join v using (query_id, target_id, ta
 mad as (select query_id, target_id, median(os) as ds, median(oe) as de from o group by 1, 2) select line_no, query_id, target_id from o join mad using (query_id, target_id) where os <= 3 * ds and oe <= 3 * de""",
     "allelic_table": f"with {_TABLE} select * from tab",
     "overlap_ratio": f"with {_TABLE}, n as (select unitig, count(*) as n from tab group by 1) select x.unitig as u1, y.unitig as u2, round(count(*) / any_value(n), 6) as ratio from tab x join tab y on x.chrom = y.chrom and x.bin_start = y.bin_start join n on n.unitig = x.unitig group by 1, 2",
-    "bin_repair": f"""with {_TABLE}, {_UNITIGS}, nr as (select chrom, bin_start, row_number() over (partition by chrom order by bin_start) as row_no from (select distinct chrom, bin_start from tab)),
-e as (select chrom, unitig, row_no from tab join nr using (chrom, bin_start)),
-mi as (select distinct r.chrom, r.row_no, p.unitig from nr r join e p on p.chrom = r.chrom and p.row_no between r.row_no - {BINS.search_range} and r.row_no - 1 join e q on q.chrom = r.chrom and q.unitig = p.unitig and q.row_no between r.row_no + 1 and r.row_no + {BINS.search_range}
-  where not exists (select 1 from e where e.chrom = r.chrom and e.row_no = r.row_no and e.unitig = p.unitig)),
-al as (select *, 0 as new from e union all select chrom, unitig, row_no, 1 from mi),
-k as (select al.*, max(new) over (partition by chrom, row_no) as grew, row_number() over (partition by chrom, row_no order by coalesce(length, 0) desc, unitig) as place from al left join u on u.contig_id = al.unitig)
-select chrom, bin_start, cast(row_no as int) as row_no, unitig from k join nr using (chrom, row_no) where grew = 0 or place <= {BINS.top_n}""",
+    "bin_repair": f"with {_REPAIRED} select * from rep",
+    "table_filter": f"""with recursive {_REPAIRED}, {_TYPES},
+d as (select chrom, row_no, bin_start, rep.unitig, coalesce(length, 0) as length, {_MULT.format("contig_type")} as m from rep left join u on u.contig_id = rep.unitig left join t on t.contig_id = rep.unitig),
+x as (select chrom, bin_start, row_number() over (partition by chrom order by bin_start) as k, list((length, unitig, m) order by length, unitig) as us, list(unitig) as ids, sum(m) as total from d group by 1, 2),
+y as (select *, coalesce(lag(ids) over w, []) as p, coalesce(lead(ids) over w, []) as n, (chrom, bin_start) in ((select min((chrom, bin_start)) from x), (select max((chrom, bin_start)) from x)) as exempt from x window w as (partition by chrom order by bin_start)),
+z as (select *, total > {BINS.ploidy} and not exempt and len(list_filter(ids, lambda i: not list_contains(p, i) and not list_contains(n, i))) = 0 as drops from y),
+walk as (select chrom, 0::bigint as k, []::varchar[] as seen, []::varchar[] as rest, 0::bigint as bin_start, true as drops from z group by chrom
+  union all select z.chrom, z.k, case when z.drops then w.seen else list_distinct(list_concat(w.seen, r.rest)) end, r.rest, z.bin_start, z.drops from walk w join z on z.chrom = w.chrom and z.k = w.k + 1,
+  lateral (select list_filter(z.us, lambda v: list_contains(w.seen, v[2])) as c), 
+  lateral (select coalesce(list_min(list_filter(range(0, len(c) + 1), lambda j: z.total - coalesce(list_sum(list_transform(c[1:j], lambda v: v[3])), 0) <= {BINS.ploidy})), len(c)) as j),
+  lateral (select list_filter(z.ids, lambda i: not list_contains(list_transform(c[1:j], lambda v: v[2]), i)) as rest) r)
+select chrom, bin_start, unnest(rest) as unitig from walk where not drops""",
     "segment_merge": f"""with recursive {_SEGS},
 s1 as (select *, row_number() over (partition by query_id order by last_start, seg_no, target_id) as k from sr),
 p1 as (select query_id, k, 1 as no, target_id, rows, matched, first_start, last_end from s1 where k = 1
