@@ -50,8 +50,9 @@ def top_n(df: DataFrame, group: str, score: str, ties: list[tuple[str, bool]], i
             rows_k = rows_k.join(F.broadcast(state.filter((F.col("taken") >= n) & F.col("g").isin(hot)).select("g")), "g", "left_anti")
         best = rows_k.withColumn("r", F.row_number().over(by)).filter(F.col("r") <= n)
         if state is not None:
-            best = best.join(state.filter(F.col("taken") >= n).select("g"), "g", "left_anti")
-            best = best.join(state.filter(F.col("taken") < n), "g", "left")
+            # Merge joins: the ranked rows are by group already, and these tables have a row per group.
+            best = best.join(state.filter(F.col("taken") >= n).select("g").hint("merge"), "g", "left_anti")
+            best = best.join(state.filter(F.col("taken") < n).hint("merge"), "g", "left")
             best = best.withColumn("r", F.col("r") + F.coalesce("taken", F.lit(0))).filter(F.col("r") <= n)
         parts.append(stages.write(best.select("g", "i", F.col("r").cast("int").alias("r"))))
         if k < len(edges):
