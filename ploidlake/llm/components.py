@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ploidlake.functions.ids import clean_id
-from ploidlake.operators.skew import lookup
 from ploidlake.runtime import Stages
 
 #: A vertex with more than one in this many rows of the relation is handed out by broadcast; there are fewer than this.
@@ -50,7 +49,10 @@ def hash_to_min(edges: DataFrame, left: str, right: str) -> DataFrame:
         told = told.unionByName(marked.filter("bm is not null").withColumnsRenamed({"bm": "m", "bn": "n"}))
         if k % SETTLE_EVERY == 0:
             told = stages.write(told)
-            both = lookup(told, lowest.select(F.col("v").alias("u"), F.col("m").alias("mu")), "u")
+            # A member of very many sets has a very large set itself, so the same few vertices go to all tasks.
+            near = told.join(big.select(F.col("v").alias("u"), F.col("bm").alias("mu")), "u", "left").select("u", "v", "m", "n", "mu")
+            rest = near.filter("mu is null").drop("mu").join(lowest.filter(F.col("n") <= limit).select(F.col("v").alias("u"), F.col("m").alias("mu")), "u")
+            both = near.filter("mu is not null").unionByName(rest)
             unfinished = both.filter("m <> mu or (v <> m and n > 1)").select(F.explode(F.array("m", "mu")).alias("m")).distinct()
             unfinished = stages.write(unfinished)
             settled.append(stages.write(lowest.select("v", "m").join(unfinished, "m", "left_anti").select("v", F.col("m").alias("g"))))
