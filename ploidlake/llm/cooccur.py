@@ -3,8 +3,9 @@
 Heavy items own at least a fixed share of all incidences, so there are never more than ``HEAVY`` of them. Their pairs are
 counted with a bit matrix: a task gives each basket one bit in the row of each heavy item and counts common bits. Pairs of
 light items are counted by hash: every basket emits its own. Mixed pairs come from probing a basket's list of heavy items
-with its light ones. Baskets with more light items than ``CHUNK`` are cut into chunks whose pairs are separate rows of
-work, so no basket is one task. The three counts are united and compared with what chance would give.
+with its light ones. Baskets with more light items than ``CHUNK`` are cut into chunks, and chunks meet in the cells of a
+grid over the basket: a cell holds at most ``CELL`` by ``CELL`` chunks and is the unit of the join, so no basket is one task
+however many items it has. The three counts are united and compared with what chance would give.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ from ploidlake.runtime import Stages
 HEAVY = 256
 #: Light items of one basket handled together.
 CHUNK = 64
+#: Chunks on either side of a cell of a large basket's grid.
+CELL = 16
+#: A basket with more than one in this many rows has its size handed out by broadcast; there are fewer than this.
+HOT_BASKETS = 1000
 #: Baskets in one bit matrix.
 MATRIX = 1 << 16
 
@@ -104,18 +109,29 @@ def pair_counts(rows: DataFrame, basket: str, item: str, min_shared: int = 1, he
     if min_shared > 1:
         light = light.join(items.select("item"), "item", "left_semi")
     sized = light.groupBy("name").agg(F.count(F.lit(1)).alias("size"))
-    large = sized.filter(F.col("size") > chunk)
     heavies = marked.filter("h is not null").groupBy("name").agg(F.sort_array(F.collect_list("item")).alias("big"))  # at most ``heavy`` items each
-    cut = light.join(large, "name", "left").withColumn("part", F.when(F.col("size").isNull(), 0).otherwise(F.pmod(F.xxhash64("item"), F.ceil(F.col("size") / chunk))).cast("int"))
+    large = stages.write(sized.filter(F.col("size") > chunk))
+    hot = F.broadcast(large.filter(F.col("size") > incidences // HOT_BASKETS).select("name", F.col("size").alias("hot_size")))  # fewer than HOT_BASKETS rows
+    # Rows of hot baskets know the size already; a salt spreads them over the join that tells the others.
+    salted = light.join(hot, "name", "left").withColumn("salt", F.when(F.col("hot_size").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("item"), F.lit(1 << 20))).cast("int"))
+    cut = salted.join(large.withColumn("salt", F.lit(0)), ["name", "salt"], "left").withColumn("size", F.coalesce("hot_size", "size"))
+    cut = cut.withColumn("part", F.when(F.col("size").isNull(), 0).otherwise(F.pmod(F.xxhash64("item"), F.ceil(F.col("size") / chunk))).cast("int"))
     lists = stages.write(cut.groupBy("name", "part").agg(F.sort_array(F.collect_list("item")).alias("small"), F.max("size").alias("size")))
     own = F.expr("flatten(transform(small, (x, i) -> transform(slice(small, i + 2, size(small)), y -> struct(x as a, y as b))))")
     counts.append(_explode(lists.filter("size(small) > 1"), own))
-    more = lists.filter("size is not null").select("name", "part", "small")
-    across = more.join(more.select("name", F.col("part").alias("part2"), F.col("small").alias("small2")), "name").filter("part < part2")
+    # Chunks of line i of the grid go to its cells (i, *) and (*, i); two chunks count in the one cell of their own lines.
+    lines = F.ceil(F.ceil(F.col("size") / chunk) / CELL).cast("int")
+    more = lists.filter("size is not null").select("name", "part", "small", F.pmod("part", lines).alias("line"), F.explode(F.sequence(F.lit(0), lines - 1)).alias("other"))
+    more = more.select("name", F.least("line", "other").alias("low"), F.greatest("line", "other").alias("high"), "line", "part", "small")
+    across = more.join(more.withColumnsRenamed({"line": "line2", "part": "part2", "small": "small2"}), ["name", "low", "high"])
+    across = across.filter("part < part2 and least(line, line2) = low and greatest(line, line2) = high")
     cross = F.expr("flatten(transform(small, x -> transform(small2, y -> struct(least(x, y) as a, greatest(x, y) as b))))")
     counts.append(_explode(across, cross))
+    # The list of heavy items goes once to each line of its basket.
     probe = F.expr("flatten(transform(small, x -> transform(big, y -> struct(least(x, y) as a, greatest(x, y) as b))))")
-    counts.append(_explode(lists.join(heavies, "name"), probe))
+    asked = lists.withColumn("line", F.when(F.col("size").isNull(), 0).otherwise(F.pmod("part", lines)))
+    told = heavies.join(large, "name", "left").select("name", "big", F.explode(F.sequence(F.lit(0), F.coalesce(lines - 1, F.lit(0)))).alias("line"))
+    counts.append(_explode(asked.join(told, ["name", "line"]), probe))
     emitted = counts[0].unionByName(counts[1]).unionByName(counts[2])
     hashed = emitted.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("shared"))
     found = heavy_pairs.unionByName(hashed).filter(F.col("shared") >= min_shared)

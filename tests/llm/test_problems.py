@@ -167,6 +167,29 @@ def test_pairs_equal_brute_force(spark, heavy, chunk):
     some = cooccur.pair_counts(df, "name", "item", min_shared=5, heavy=heavy, chunk=chunk)
     assert {(r.item_i, r.item_j): r.shared for r in some.collect()} == {k: v[0] for k, v in want.items() if v[0] >= 5}
 
+@pytest.mark.parametrize(("share", "per"), [(1, 2), (1000, 2), (3, 5)])
+def test_pairs_of_a_basket_with_a_third_of_all_rows(spark, monkeypatch, share, per):
+    """Its chunks meet in the cells of a grid, with its size broadcast (1000) or joined (1, 3): each pair once."""
+    monkeypatch.setattr(cooccur, "HOT_BASKETS", share)
+    monkeypatch.setattr(cooccur, "CELL", 3)
+    rng = random.Random(share)
+    whole = [("whole", f"i{k}") for k in range(150)]
+    rest = [(f"b{rng.randrange(60)}", f"i{min(int(rng.expovariate(0.02)), 149)}") for _ in range(300)]
+    want = {}
+    baskets = {}
+    for b, i in whole + rest:
+        baskets.setdefault(b, set()).add(i)
+    for held in baskets.values():
+        for i in held:
+            for j in held:
+                if i < j:
+                    want[i, j] = want.get((i, j), 0) + 1
+    df = spark.createDataFrame(whole + rest, "b string, i string")
+    got = cooccur.pair_counts(df, "b", "i", heavy=30, chunk=per)
+    found = [(r.item_i, r.item_j, r.shared) for r in got.collect()]
+    assert len(found) == len(want)
+    assert {(i, j): n for i, j, n in found} == want
+
 
 def test_bit_matrices_over_many_batches(spark, monkeypatch):
     monkeypatch.setattr(cooccur, "MATRIX", 50)
