@@ -55,6 +55,28 @@ def pair_stats(aln: DataFrame, p: Redundancy = Redundancy()) -> DataFrame:
     return per.withColumns({"ratio_pass": tests[0], "collinear": tests[1], "contained": tests[2], "redundant": tests[0] & tests[1] & tests[2]})
 
 
+def directed_stats(aln: DataFrame, p: Redundancy = Redundancy()) -> DataFrame:
+    """Per contig pair, in the direction seen first: matches over the query, aligned length over the target.
+
+    The shorter contig is redundant if either share is above ``either_ratio``; between equal lengths the target is the long
+    one. Secondary records count. Directions are told apart after the aggregate, so records are shuffled once.
+    """
+    rows = aln.filter((F.col("query_id") != F.col("target_id")) & (F.col("match_len") >= p.min_match) & (F.col("query_len") >= p.min_query))
+    per = rows.groupBy("query_id", "target_id").agg(
+        F.max("query_len").alias("query_len"),
+        F.max("target_len").alias("target_len"),
+        F.sum("match_len").alias("matched"),
+        F.coalesce(F.sum("block_len"), F.lit(0)).alias("aligned"),
+        F.min("line_no").alias("first_line"),
+    )
+    pair = Window.partitionBy(F.least("query_id", "target_id"), F.greatest("query_id", "target_id"))
+    per = per.withColumn("of_pair", F.min("first_line").over(pair)).filter("first_line = of_pair")
+    per = per.withColumns({"query_ratio": F.col("matched") / F.col("query_len"), "target_ratio": F.col("aligned") / F.col("target_len")})
+    short = F.when(F.col("query_len") > F.col("target_len"), F.col("target_id")).otherwise(F.col("query_id"))
+    redundant = (F.col("query_ratio") > p.either_ratio) | (F.col("target_ratio") > p.either_ratio)
+    return per.select("query_id", "target_id", "matched", "aligned", "query_ratio", "target_ratio", short.alias("short_id"), redundant.alias("redundant"))
+
+
 def contig_lengths(aln: DataFrame) -> DataFrame:
     """``(contig_id, length)`` from both sides of the records."""
     both = aln.selectExpr("stack(2, query_id, query_len, target_id, target_len) as (contig_id, length)")

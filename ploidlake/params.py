@@ -13,6 +13,7 @@ class Redundancy:
     min_query: int = 100_000
     ratio_long: float = 0.05
     ratio_short: float = 0.1
+    either_ratio: float = 0.1  # of either side, where lengths are taken as query and target
     min_r2: float = 0.2
     point_match: int = 5000  # alignments with more matches make points
     margin: float = 0.05

@@ -108,6 +108,7 @@ QUERIES = {
     "pair_stats": lambda s, d: _round(align.pair_stats(_self(s, d), RED).select("long_id", "short_id", "long_len", "short_len", "matched", "points", "ratio_long", "ratio_short"), "ratio_long", "ratio_short"),
     "pair_r2": lambda s, d: _round(align.pair_stats(_self(s, d), RED).select("long_id", "short_id", "r2", "collinear"), "r2"),
     "pair_contained": lambda s, d: _round(align.pair_stats(_self(s, d), RED).select("long_id", "short_id", "inside_share", "contained"), "inside_share"),
+    "directed_stats": lambda s, d: _round(align.directed_stats(_self(s, d), RED), "query_ratio", "target_ratio"),
     "redundant_contigs": lambda s, d: align.redundant_contigs(_self(s, d), RED),
     "retained_contigs": lambda s, d: align.retained_contigs(_self(s, d), RED),
     "pair_identity": lambda s, d: _round(align.pair_identity(_self(s, d)), "query_ratio", "target_ratio"),
@@ -276,6 +277,12 @@ SQL = {
     "pair_stats": f"with {_PAIRS} select long_id, short_id, long_len, short_len, matched, points, round(ratio_long, 6) as ratio_long, round(ratio_short, 6) as ratio_short from f",
     "pair_r2": f"with {_PAIRS} select long_id, short_id, round(r2, 6) as r2, collinear from f",
     "pair_contained": f"with {_PAIRS} select long_id, short_id, round(inside_share, 6) as inside_share, contained from f",
+    "directed_stats": f"""with {_SELF}, b as (select line_no, any_value(block_len) as block_len from self_paf group by 1),
+f as (select query_id, target_id, max(query_len) as ql, max(target_len) as tl, cast(sum(match_len) as bigint) as matched, cast(coalesce(sum(block_len), 0) as bigint) as aligned, min(line_no) as n
+  from a join b using (line_no) where query_id <> target_id and match_len >= {RED.min_match} and query_len >= {RED.min_query} group by 1, 2),
+k as (select *, min(n) over (partition by least(query_id, target_id), greatest(query_id, target_id)) as m from f)
+select query_id, target_id, matched, aligned, round(matched / ql, 6) as query_ratio, round(aligned / tl, 6) as target_ratio, case when ql > tl then target_id else query_id end as short_id,
+  matched / ql > {RED.either_ratio} or aligned / tl > {RED.either_ratio} as redundant from k where n = m""",
     "redundant_contigs": f"with {_PAIRS} select contig_id from r",
     "retained_contigs": f"with {_PAIRS}, {_CONTIGS} select contig_id, length from c where contig_id not in (select contig_id from r)",
     "pair_identity": f"""with {_SELF} select query_id, target_id, cast(sum(list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)M', 1), lambda x: cast(x as bigint)))) as bigint) as matched, max(query_len) as query_len, max(target_len) as target_len,

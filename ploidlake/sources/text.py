@@ -49,6 +49,26 @@ def paf(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*cols, _num(11, "int").alias("mapq"), tag("tp:A:").alias("tp"), tag("cg:Z:").alias("cigar"), "line_no")
 
 
+def delta(spark: SparkSession, path: str, keep_self: bool = False) -> DataFrame:
+    """Alignments of a delta file; ``*_start`` and ``*_end`` are half-open, a reverse query has strand ``-``.
+
+    A record is all a contig pair has, so files split between pairs and no header is carried along. Hits of a contig on
+    itself are left out unless ``keep_self``; lists of indels are skipped; ``match_len`` is the block less its errors.
+    """
+    records = spark.read.text(path, lineSep=">")
+    lines = F.transform(F.split("value", "\n"), lambda x: F.split(F.btrim(x, F.lit(" \r\t")), r"\s+"))
+    parsed = records.select(lines.alias("l"), F.get(lines, F.lit(0)).alias("h")).filter(F.size("h") == 4)
+    rows = parsed.select("h", F.explode(F.filter("l", lambda x: F.size(x) == 7)).alias("c"))
+    names = rows.select(F.get("h", F.lit(1)).alias("query_id"), F.get("h", F.lit(3)).try_cast("bigint").alias("query_len"), F.get("h", F.lit(0)).alias("target_id"), F.get("h", F.lit(2)).try_cast("bigint").alias("target_len"), "c")
+    a, b, q, r, errors = (_num(i) for i in range(5))
+    length = F.greatest(a, b) - F.least(a, b) + 1
+    found = names.select(
+        "query_id", "query_len", (F.least(q, r) - 1).alias("query_start"), F.greatest(q, r).alias("query_end"), F.when((a <= b) == (q <= r), "+").otherwise("-").alias("strand"),
+        "target_id", "target_len", (F.least(a, b) - 1).alias("target_start"), F.greatest(a, b).alias("target_end"), (length - errors).alias("match_len"), length.alias("block_len"),
+    )
+    return found if keep_self else found.filter("query_id <> target_id")
+
+
 def gfa(spark: SparkSession, path: str) -> DataFrame:
     """Sequences of the segment lines."""
     return _columns(spark, path).filter(F.get("c", F.lit(0)) == "S").select(F.get("c", F.lit(1)).alias("contig_id"), F.get("c", F.lit(2)).alias("seq"))

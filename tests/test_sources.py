@@ -27,6 +27,15 @@ def test_fasta_round_trip(spark, tmp_path):
     assert rows(text.fasta(spark, str(tmp_path / "out")).select("contig_id", "seq")) == [("x", "ACGT"), ("z", "T" * 5000)]
 
 
+def test_delta_skips_headers_indels_and_self_hits(spark, tmp_path):
+    content = "/a/ref.fa /a/qry.fa\nNUCMER\n>t1 q1 500 90\n11 60 1 50 3 3 0\n5\n-7\n0\n101 120 40 21 0 0 0\n0\n>q1 q1 90 90\n1 90 1 90 0 0 0\n0\n>t2 q1 40 90\r\n1 4 2 5 1 1 0\r\n0\r\n"
+    p = put(tmp_path, "a.delta", content)
+    want = [("q1", 90, 0, 50, "+", "t1", 500, 10, 60, 47, 50), ("q1", 90, 1, 5, "+", "t2", 40, 0, 4, 3, 4), ("q1", 90, 20, 40, "-", "t1", 500, 100, 120, 20, 20)]
+    assert rows(text.delta(spark, p)) == want
+    assert text.delta(spark, p, keep_self=True).filter("query_id = target_id").count() == 1
+    assert text.delta(spark, put(tmp_path, "empty.delta", "")).count() == 0
+
+
 def test_paf_finds_tags_by_name(spark, tmp_path):
     p = put(tmp_path, "a.paf", "q\t100\t0\t50\t+\tt\t900\t10\t60\t50\t50\t60\tNM:i:0\ttp:A:S\tcg:Z:50M\nq\t100\t0\tx\t-\tt\t900\t10\t60\t7\t50\t60\n\n")
     got = text.paf(spark, p).orderBy("line_no").collect()
