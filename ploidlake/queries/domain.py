@@ -87,8 +87,8 @@ def _genotype(s: SparkSession, d: str) -> DataFrame:
     return allelic.genotyped(_bins(s, d), _types(s, d), u, u, _links(s, d), BINS, LINKS)
 
 
-def _reassigned(s: SparkSession, d: str, rounds: int, p: Links = LINKS) -> DataFrame:
-    return assign.reassign(_unitigs(s, d), _types(s, d), _links(s, d), _members(s, d), rounds, p)
+def _reassigned(s: SparkSession, d: str, rounds: int) -> DataFrame:
+    return assign.reassign(_unitigs(s, d), _types(s, d), _links(s, d), _members(s, d), rounds, LINKS)
 
 
 def _repaired(s: SparkSession, d: str) -> DataFrame:
@@ -152,7 +152,7 @@ QUERIES = {
     "read_pair_counts": lambda s, d: hic.read_pair_counts(_sets(s, d).select(F.col("contig_id").alias("ref"), "read")),
     "major_target": lambda s, d: hic.major_target(_links(s, d), align.best_target(_aln(s, d))),
     "reassign_density": lambda s, d: _reassigned(s, d, 4),
-    "rescue_density": lambda s, d: assign.unassigned(_unitigs(s, d), _reassigned(s, d, 8, Links(min_single=300))),
+    "rescue_density": lambda s, d: assign.unassigned(_unitigs(s, d), _reassigned(s, d, 8)),
     "read_sets": _sets,
     "read_split": lambda s, d: reads.split_reads(_sets(s, d), _types(s, d), Reads()),
     "read_split_disjoint": lambda s, d: reads.split_reads(_sets(s, d), _types(s, d), Reads(), disjoint=True),
