@@ -120,6 +120,7 @@ QUERIES = {
     "top_targets": lambda s, d: align.top_targets(align.primary(_aln(s, d), BINS.min_match, BINS.min_query), BINS.chromosomes),
     "cigar_match_ratio": lambda s, d: _round(align.best_ratio(_aln(s, d), BINS.chromosomes), "ratio"),
     "match_matrix": lambda s, d: _round(align.ratio_matrix(_aln(s, d), CHROMS), *CHROMS),
+    "match_ratios": lambda s, d: _round(align.cigar_ratios(_aln(s, d)).select("query_id", "target_id", F.coalesce("ratio", F.lit(0.0)).alias("ratio")), "ratio"),  # match_matrix in long form, over every target
     "match_above_cutoff": lambda s, d: _round(align.ratios_above(_aln(s, d), BINS.chromosomes), "ratio"),
     "off_target_contigs": lambda s, d: align.off_target(_aln(s, d), BINS.chromosomes),
     "contained_filter": lambda s, d: align.drop_contained(_aln(s, d)).select("line_no", "query_id", "target_id"),
@@ -297,6 +298,7 @@ select line_no, query_id, target_id from a join k using (query_id, target_id) wh
     "top_targets": f"with {_A}, f as (select * from a where {_PRIMARY} and match_len >= {BINS.min_match} and query_len >= {BINS.min_query}), {_tops('f', BINS.chromosomes)} select * from tops",
     "cigar_match_ratio": f"with {_A}, {_CIGAR}, {_tops('a', BINS.chromosomes)}, {_BESTK} select query_id, target_id, round(ratio, 6) as ratio from bk",
     "match_matrix": f"with {_A}, {_CIGAR} select query_id, {', '.join(f'round(coalesce(sum(ratio) filter (target_id = {c!r}), 0), 6) as {c}' for c in CHROMS)} from k group by 1",
+    "match_ratios": f"with {_A}, {_CIGAR} select query_id, target_id, round(coalesce(ratio, 0), 6) as ratio from k",
     "match_above_cutoff": f"with {_A}, {_CIGAR}, {_tops('a', BINS.chromosomes)} select query_id, target_id, round(ratio, 6) as ratio from k where ratio > 0.2 and target_id in (select target_id from tops)",
     "off_target_contigs": f"with {_A}, {_CIGAR}, {_tops('a', BINS.chromosomes)}, {_BESTK} select distinct query_id from a where query_id not in (select query_id from bk)",
     "contained_filter": f"""with {_A}, sp as (select query_id, target_id, target_start, target_end, count(*) as n from a group by 1, 2, 3, 4),

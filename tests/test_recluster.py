@@ -1,4 +1,5 @@
 from conftest import rows
+from test_operators import paf
 
 from ploidlake.queries import domain
 
@@ -19,3 +20,9 @@ def test_rescue_takes_contigs_with_a_link_of_five(spark, monkeypatch):
     contigs = [("a", 900, 4), ("b", 800, 3), ("c", 700, 3), ("d", 600, 3), ("e", 500, 2)]
     small(spark, monkeypatch, contigs, [("a", "b", 299), ("a", "c", 5), ("a", "d", 4)], [("a", "g1")])
     assert rows(domain.QUERIES["rescue_density"](spark, "")) == [("d",), ("e",)]
+
+
+def test_match_ratios_have_every_target(spark, monkeypatch):
+    a = paf(spark, [("p", "chr01", 0, 10), ("p", "chr12", 0, 10), ("p", "chr12", 20, 30), ("q", "scf0007", 0, 10)])
+    monkeypatch.setattr(domain, "_aln", lambda s, d: a)
+    assert rows(domain.QUERIES["match_ratios"](spark, "")) == [("p", "chr01", 0.0001), ("p", "chr12", 0.0002), ("q", "scf0007", 0.0001)]
