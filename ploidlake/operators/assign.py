@@ -55,8 +55,28 @@ def reassign(contigs: DataFrame, types: DataFrame, links: DataFrame, membership:
     return out
 
 
+def reassign_within(contigs: DataFrame, types: DataFrame, links: DataFrame, membership: DataFrame, homes: DataFrame, rounds: int = 4, p: Links = Links()) -> DataFrame:
+    """``(contig_id, group_name)`` after a ``reassign`` inside each chromosome, of all chromosomes in one job.
+
+    ``homes(contig_id, chrom)``: a contig's chromosomes; it joins groups of these only. ``membership`` has the group's
+    ``chrom`` too. A member of a chromosome's group that isn't at home there lends its links, but no restriction sites. A
+    contig that is grouped on another chromosome only still waits in its own.
+    """
+    stages = Stages(contigs.sparkSession, "within")
+    key = F.concat_ws("\x01", "chrom", "contig_id")
+    homes = homes.select("contig_id", "chrom").distinct()
+    members = membership.select("contig_id", "chrom", "group_name").distinct()
+    scope = stages.write(homes.unionByName(members.select("contig_id", "chrom")).distinct())
+    inside = links.join(scope.withColumnRenamed("contig_id", "ctg_i"), "ctg_i").join(scope.withColumnRenamed("contig_id", "ctg_j"), ["ctg_j", "chrom"])
+    inside = stages.write(inside.select(*(F.concat_ws("\x01", "chrom", c).alias(c) for c in ("ctg_i", "ctg_j")), "links"))
+    at_home = stages.write(contigs.select("contig_id", "length", "re_sites").join(homes, "contig_id").withColumn("contig_id", key).drop("chrom"))
+    kinds = types.select("contig_id", "contig_type").join(homes, "contig_id").select(key.alias("contig_id"), "contig_type")
+    got = reassign(at_home, kinds, inside, members.select(key.alias("contig_id"), "group_name"), rounds, p)
+    return got.select(F.substring_index("contig_id", "\x01", -1).alias("contig_id"), "group_name").distinct()
+
+
 def unassigned(contigs: DataFrame, assigned: DataFrame) -> DataFrame:
     return contigs.select("contig_id").join(assigned, "contig_id", "left_anti")
 
 
-__all__ = ["contig_group_links", "group_sites", "reassign", "unassigned"]
+__all__ = ["contig_group_links", "group_sites", "reassign", "reassign_within", "unassigned"]

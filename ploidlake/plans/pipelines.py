@@ -40,19 +40,24 @@ def haplotype_groups(paf: DataFrame, hic_links: DataFrame, contigs: DataFrame, t
     """From alignments of unitigs to the reference and contact links: allelic table, groups, and leftovers assigned.
 
     ``contigs(contig_id, length, re_sites)``, ``types(contig_id, contig_type)``. Gives ``segments``, ``table``, ``groups``
-    (in order, with repeats), ``membership`` and ``unassigned``.
+    (in order, with repeats), ``membership`` and ``unassigned``. Leftovers go to groups of the chromosome they match best
+    first, then what is still left to groups of any.
     """
     stages = Stages(paf.sparkSession, "groups")
     aln = stages.write(align.alignments(paf))
     near = align.on_best_target(align.primary(aln, seg.min_match, seg.min_query, strict=True), seg.min_ratio)
     segments = align.gap_segments(align.drop_contained(near), seg.gap)
     merged = align.best_segment(align.merge_segments(align.segment_rows(segments), seg).withColumn("seg_no", F.col("merged_no")))
-    table = stages.write(allelic.repair_bins(allelic.allelic_table(aln.join(merged.select("query_id"), "query_id", "left_semi"), bins), contigs, bins))
+    best = stages.write(aln.join(merged.select("query_id"), "query_id", "left_semi"))
+    homes = align.best_ratio(best, bins.chromosomes).select(F.col("query_id").alias("contig_id"), F.col("target_id").alias("chrom"))
+    table = stages.write(allelic.repair_bins(allelic.allelic_table(best, bins), contigs, bins))
     thin = stages.write(allelic.thin_bins(table, contigs, types, bins))
     links = stages.write(hic.pair_links(hic_links))
     groups = stages.write(allelic.linked_only(allelic.genotyped(thin, types, contigs, contigs, links, bins, p), links))
-    members = groups.select("contig_id", F.concat("chrom", F.lit("g"), F.col("group_no").cast("string")).alias("group_name")).distinct()
-    membership = assign.reassign(contigs, types, links, members, rounds, p)
+    members = stages.write(groups.select("contig_id", "chrom", F.concat("chrom", F.lit("g"), F.col("group_no").cast("string")).alias("group_name")).distinct())
+    within = stages.write(assign.reassign_within(contigs, types, links, members, stages.write(homes), rounds, p))
+    rescued = assign.reassign(contigs, types, links, within, rounds, p).select("contig_id", "group_name")
+    membership = rescued.join(members.select("contig_id", "group_name", F.lit(True).alias("was_grouped")), ["contig_id", "group_name"], "left").na.fill(False, ["was_grouped"])
     return {"segments": merged, "table": thin, "groups": groups, "membership": membership, "unassigned": assign.unassigned(contigs, membership)}
 
 
