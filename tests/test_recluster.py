@@ -1,6 +1,8 @@
+import random
+
 from conftest import rows
 from pyspark.sql import functions as F
-from test_operators import paf
+from test_operators import paf, sequential
 
 from ploidlake.operators import assign
 from ploidlake.plans import pipelines
@@ -55,3 +57,21 @@ def test_reassign_within_keeps_chromosomes_apart(spark):
     links = spark.createDataFrame([("a", "x", 8), ("a", "y", 500), ("b", "y", 9), ("x", "y", 8)], "ctg_i string, ctg_j string, links bigint")
     got = assign.reassign_within(contigs, spark.createDataFrame([], "contig_id string, contig_type string"), links, members, homes, 4)
     assert rows(got) == [("a", "g1"), ("b", "h1"), ("x", "g1"), ("x", "h2"), ("y", "h2")]
+
+
+def test_reassign_is_the_strict_order_whatever_the_bands(spark):
+    """Chains of ungrouped contigs, equal lengths, several copies; a single band, a few, and small tiles of the running sums."""
+    rnd = random.Random(7)
+    contigs = {f"c{i:02d}": (1000 + 10 * (i // 2), rnd.randrange(2, 9)) for i in range(20)}
+    copies = {f"c{i:02d}": rnd.choice([1, 1, 2, 3]) for i in range(20)}
+    links = {(f"c{i:02d}", f"c{j:02d}"): rnd.randrange(1, 20) for i in range(20) for j in range(i + 1, min(i + 6, 20)) if rnd.random() < 0.6}
+    members = {"c19": {"g1"}, "c18": {"g2"}, "c16": {"g1", "g3"}}
+    ordered = dict(sorted(contigs.items(), key=lambda x: (-x[1][0], x[0])))
+    df = spark.createDataFrame([(c, *x) for c, x in contigs.items()], "contig_id string, length bigint, re_sites bigint")
+    types = spark.createDataFrame([(c, ["haplotig", "diplotig", "triplotig"][n - 1]) for c, n in copies.items()], "contig_id string, contig_type string")
+    lk = spark.createDataFrame([(a, b, n) for (a, b), n in links.items()], "ctg_i string, ctg_j string, links bigint")
+    ms = spark.createDataFrame([(c, g) for c, gs in members.items() for g in gs], "contig_id string, group_name string")
+    want = sequential(ordered, copies, links, members, 5)
+    for rounds, tile in ((1, 1 << 16), (4, 5)):
+        got = assign.reassign(df, types, lk, ms, rounds, tile=tile)
+        assert rows(got.select("contig_id", "group_name")) == want
