@@ -2,7 +2,8 @@
 
 Steps that cut lineage write Parquet below the shared folder named by ``spark.checkpoint.dir``; every executor can read
 it, so a lost executor costs only the tasks it was running. A folder of this machine is used only where the setting is
-absent, as in tests, and it is removed when the interpreter ends.
+absent and every executor runs on this machine (a ``local`` master), as in tests; it is removed when the interpreter
+ends. On a cluster without the setting, operators that write stages refuse to run.
 """
 
 from __future__ import annotations
@@ -24,9 +25,13 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, or one of our own where none is set."""
+    """The cluster's checkpoint folder, or one of our own where none is set and all executors are on this machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named.rstrip("/") if named else _own_folder()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share: steps are written there")
+    return _own_folder()
 
 
 class Stages:
@@ -68,9 +73,23 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def partition_bound(df: DataFrame) -> int:
-    """How many partitions ``df`` has, or may have where a shuffle decides it; nothing is run to find out."""
-    exchanges = df._jdf.queryExecution().executedPlan().toString().count("Exchange")
-    return exchanges * shuffle_width(df.sparkSession) if exchanges else df.rdd.getNumPartitions()
+    """How many partitions ``df`` has at most, read off its plan; no stage is run to find out."""
+    return max(1, _partitions(df._jdf.queryExecution().executedPlan()))
+
+
+def _partitions(node) -> int:
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _partitions(node.executedPlan())
+    if name == "BroadcastExchange":  # goes to every task and adds none
+        return 0
+    if name == "Exchange":
+        return node.outputPartitioning().numPartitions()
+    children = node.children()
+    if not children.size():
+        return node.execute().getNumPartitions()
+    below = [_partitions(children.apply(i)) for i in range(children.size())]
+    return sum(below) if name == "Union" else max(below)
 
 
 def fresh(taken: list[str], name: str) -> str:
