@@ -1,12 +1,14 @@
 """Per-key work when a few keys hold most rows: fragment-replicate by estimated load.
 
-1. The load of every key is estimated through a fixed number of hash buckets (one small pass with map-side sums), and
-   keys inside overfull buckets are counted, so every key above one shard's share is known with its exact load. There are
-   fewer such keys than shards, whatever the data.
+1. The load of every key is estimated through hash buckets, a fixed number for each task (one small pass with map-side
+   sums), and keys inside overfull buckets are counted, so every key above one shard's share is known with its exact load.
+   There are fewer such keys than shards, whatever the data.
 2. Light buckets and the proportionate shards of heavy keys are packed into tasks, largest first into the least loaded.
-3. Rows are sent to their task directly (``repartitionById``); rows of the matching side go once to the task of their
-   bucket, or to each shard of their heavy key and nowhere else.
-4. Results per (task, shard, key) form without another shuffle; the last step adds a handful of rows per heavy key.
+3. Rows know their task and shard before they move. Where only sums are wanted, rows of one (task, shard, key) are added up
+   where they are read, and the sums travel; a join sends the rows themselves. Either goes to its task directly
+   (``repartitionById``); rows of the matching side go once to the task of their bucket, or to each shard of their heavy
+   key and nowhere else.
+4. The last step adds a handful of rows per heavy key.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark.sql import types as T
 
 from ploidlake.runtime import Stages, fresh, shuffle_width
 
-#: Hash buckets for the load estimate; the plan on the driver has this many rows plus one per shard.
-BUCKETS = 1024
+#: Hash buckets for the load estimate: so many for each task, and this many at least. The plan on the driver has a row
+#: for each and one per shard: it grows with the tasks, not with the data.
+BUCKETS_PER_TASK = 16
+LEAST_BUCKETS = 1024
 #: Shards a task's fair share is cut into; a key above one shard's load is split.
 SHARDS_PER_TASK = 4
 
@@ -54,23 +58,25 @@ def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def plan_loads(facts: DataFrame, key: str, tasks: int | None = None, buckets: int = BUCKETS) -> LoadPlan:
+def plan_loads(facts: DataFrame, key: str, tasks: int | None = None) -> LoadPlan:
     """Estimate loads of ``facts`` by ``key`` and pack them. Null keys have no load."""
     tasks = tasks or shuffle_width(facts.sparkSession)
+    buckets = max(LEAST_BUCKETS, BUCKETS_PER_TASK * tasks)
     keyed = facts.select(F.col(key)).filter(F.col(key).isNotNull())
     loads = [0] * buckets
     for r in keyed.groupBy(_bucket(key, buckets).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():  # <= buckets rows
         loads[r.b] = r.n
     total = sum(loads)
     share = max(1, -(-total // (tasks * SHARDS_PER_TASK)))
-    full = [b for b, n in enumerate(loads) if n > share]  # fewer than tasks * SHARDS_PER_TASK
+    full = [(b,) for b, n in enumerate(loads) if n > share]  # fewer than tasks * SHARDS_PER_TASK
     heavy: list[tuple[object, int]] = []
+    spark = facts.sparkSession
     if full:
-        counted = keyed.filter(_bucket(key, buckets).isin(full)).groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > share)
+        inside = keyed.withColumn("__b", _bucket(key, buckets)).join(F.broadcast(spark.createDataFrame(full, "__b int")), "__b", "left_semi")
+        counted = inside.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > share)
         heavy = sorted(((r[0], r[1]) for r in counted.collect()), key=lambda x: (-x[1], str(x[0])))  # < tasks * SHARDS_PER_TASK rows
     items, shards = [], []
     if heavy:
-        spark = facts.sparkSession
         kind = T.StructType([T.StructField("k", facts.schema[key].dataType)])
         homes = {r[0]: r[1] for r in spark.createDataFrame([(k,) for k, _ in heavy], kind).select("k", _bucket("k", buckets)).collect()}
         for k, n in heavy:
@@ -83,15 +89,15 @@ def plan_loads(facts: DataFrame, key: str, tasks: int | None = None, buckets: in
 
 
 def _tables(df: DataFrame, plan: LoadPlan) -> tuple[DataFrame, DataFrame]:
-    """The plan as two small tables: at most BUCKETS rows, and fewer rows than shards."""
+    """The plan as two small tables: a row per bucket, and fewer rows than shards."""
     spark = df.sparkSession
     buckets = spark.createDataFrame(list(enumerate(plan.bucket_task)), "b int, t int")
     kind = T.StructType([T.StructField("hk", df.schema["key"].dataType), T.StructField("ts", T.ArrayType(T.IntegerType()))])
     return buckets, spark.createDataFrame([(k, ts) for k, ts in plan.heavy.items()], kind)
 
 
-def _placed(df: DataFrame, plan: LoadPlan, replicate: bool) -> DataFrame:
-    """``df`` (with ``key``) and ``task``, ``shard``.
+def _dealt(df: DataFrame, plan: LoadPlan, replicate: bool) -> DataFrame:
+    """``df`` (with ``key``) and ``task``, ``shard``; nothing moves yet.
 
     With ``replicate``, rows of a heavy key once for each of its shards; else each row in the shard its ``salt`` says.
     """
@@ -103,7 +109,12 @@ def _placed(df: DataFrame, plan: LoadPlan, replicate: bool) -> DataFrame:
     else:
         marked = marked.withColumn("shard", F.when(F.col("ts").isNull(), 0).otherwise(F.pmod("salt", F.size("ts"))).cast("int")).drop("salt")
         marked = marked.withColumn("task", F.when(F.col("ts").isNull(), F.col("t")).otherwise(F.get("ts", F.col("shard"))))
-    return marked.drop("t", "ts").repartitionById(plan.tasks, F.col("task"))
+    return marked.drop("t", "ts")
+
+
+def _placed(df: DataFrame, plan: LoadPlan, replicate: bool) -> DataFrame:
+    """The rows of ``_dealt`` at their tasks."""
+    return _dealt(df, plan, replicate).repartitionById(plan.tasks, F.col("task"))
 
 
 def _salt(df: DataFrame) -> Column:
@@ -127,14 +138,15 @@ def keyed_totals(facts: DataFrame, key: str, sums: dict[str, Column | str], matc
     """
     slim = facts.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), _salt(facts).alias("salt"), *[(F.col(c) if isinstance(c, str) else c).alias(f"s{i}") for i, c in enumerate(sums.values())])
     plan = plan or plan_loads(slim, "key")
-    placed = _placed(slim, plan, replicate=False)
+    parts = [F.sum(f"s{i}").alias(f"s{i}") for i in range(len(sums))]
+    unit = ["task", "shard", "key"]
+    local = _dealt(slim, plan, replicate=False).groupBy(*unit).agg(F.count(F.lit(1)).alias("n"), *parts).repartitionById(plan.tasks, F.col("task"))
     extra: dict[str, str] = {}
     if match is not None:
         one, extra = _numbered(match, key, "m")
         one = one.groupBy("key").agg(*[F.min(c).alias(c) for c in extra.values()])
-        placed = placed.join(_placed(one, plan, replicate=True), ["task", "shard", "key"], "left")
-    local = placed.groupBy("task", "shard", "key").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(sums))], *[F.min(c).alias(c) for c in extra.values()])
-    whole = local.groupBy("key").agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(sums))], *[F.min(c).alias(c) for c in extra.values()])
+        local = local.join(_placed(one, plan, replicate=True), unit, "left")
+    whole = local.groupBy("key").agg(F.sum("n").alias("n"), *parts, *[F.min(c).alias(c) for c in extra.values()])
     taken = [key, "n_rows", *sums]
     out = [F.col("key").alias(key), F.col("n").alias("n_rows"), *[F.col(f"s{i}").alias(c) for i, c in enumerate(sums)]]
     for c, n in extra.items():
@@ -206,9 +218,10 @@ def hot_keys(links: DataFrame, types: DataFrame, contig_share: float = 0.04, typ
     from ploidlake.functions.ids import clean_label
 
     n_links, n_types = links.count(), types.count()
-    facts = Stages(links.sparkSession, "links").write(link_facts(links))
-    contigs = keyed_totals(facts, "contig_id", {"stored_rows": "copies"}).filter(F.col("stored_rows") >= contig_share * n_links - 1e-9)
-    kinds = keyed_totals(types.select("contig_id", clean_label("contig_type").alias("contig_type")), "contig_type", {}).filter(F.col("n_rows") >= type_share * n_types - 1e-9)
+    named = types.select("contig_id", clean_label("contig_type").alias("contig_type"))
+    ends = links.select(F.explode(F.array_distinct(F.array("ctg_i", "ctg_j"))).alias("contig_id"))
+    contigs = keyed_totals(ends, "contig_id", {}, match=named).filter(F.col("n_rows") >= contig_share * n_links - 1e-9)
+    kinds = keyed_totals(named.select("contig_type"), "contig_type", {}).filter(F.col("n_rows") >= type_share * n_types - 1e-9)
     return contigs.select(F.lit("contig_id").alias("key_name"), F.col("contig_id").alias("key_value")).unionByName(
         kinds.select(F.lit("contig_type").alias("key_name"), F.col("contig_type").alias("key_value"))
     )

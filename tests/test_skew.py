@@ -24,6 +24,23 @@ def test_heavy_keys_are_split_in_proportion(spark):
     assert max(per) <= 1.3 * 10_000 / 4
 
 
+def test_ten_thousand_tasks_are_all_loaded(spark):
+    df = spark.range(400_000).select(F.concat(F.lit("k"), (F.col("id") % 300_000).cast("string")).alias("key")).unionByName(spark.range(100_000).select(F.lit("hot").alias("key")))
+    plan = skew.plan_loads(df, "key", tasks=10_000)
+    assert plan.total == 500_000 and len(plan.heavy["hot"]) > 1000
+    assert 25 <= min(plan.task_load) and max(plan.task_load) <= 100  # fair: 50
+    salted = df.withColumn("salt", F.xxhash64("key", F.monotonically_increasing_id()))
+    per = [r["count"] for r in skew._dealt(salted, plan, replicate=False).groupBy("task").count().collect()]
+    assert len(per) == 10_000 and max(per) <= 100
+
+
+def test_sums_are_made_before_rows_move(spark):
+    df = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    plan = skew.keyed_totals(df, "k", {"s": "v"}, match=spark.createDataFrame([("hot", "x")], "k string, m string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("shufflepartitionidpassthrough") < plan.rindex("partial_sum(")  # plans print from the last step down
+    assert plan.count("shufflepartitionidpassthrough") == 2
+
+
 def test_matching_side_goes_only_to_the_shards(spark):
     df = spark.range(4000).select(F.when(F.col("id") < 3000, "hot").otherwise(F.col("id").cast("string")).alias("key"))
     plan = skew.plan_loads(df, "key", tasks=4)
