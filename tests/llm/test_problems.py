@@ -75,15 +75,37 @@ def best(items, n):
     once = {}
     for g, i, s, t in items:
         if g is not None and i is not None and s is not None:
-            a, b = once.get((g, i), (s, t))
-            once[(g, i)] = (max(a, s), b if t is None else t if b is None else min(b, t))
+            place = (-(-math.inf if s != s else s), t is None, t or 0)
+            once[(g, i)] = min(once.get((g, i), place), place)
     out = []
     for g in {g for g, _ in once}:
-        mine = sorted((-(-math.inf if s != s else s), t is None, t or 0, i) for (q, i), (s, t) in once.items() if q == g)
+        mine = sorted((*place, i) for (q, i), place in once.items() if q == g)
         out += [(g, i, k + 1) for k, (*_, i) in enumerate(mine[:n])]
     return sorted(out, key=repr)
 
 
+def test_an_item_counts_by_one_of_its_rows(spark):
+    df = spark.createDataFrame([("a", 1, 9, 50), ("a", 1, 3, 0), ("a", 2, 9, 10)], "g string, i bigint, s bigint, t bigint")
+    assert rows(topn.top_n(df, "g", "s", [("t", True)], "i", 1)) == [("a", 2, 1)]
+
+
+def test_filled_groups_leave_before_ranking_and_nothing_whole_is_written(spark, monkeypatch):
+    written = []
+    write = topn.Stages.write
+
+    def counted(self, df):
+        back = write(self, df)
+        written.append((df, back.count()))
+        return back
+
+    monkeypatch.setattr(topn.Stages, "write", counted)
+    df = spark.range(4000).selectExpr("id % 100 as g", "id as i", "(id * 7919) % 1000 as s")
+    got = topn.top_n(df, "g", "s", [], "i", 2)
+    assert got.count() == 200 and all(n <= 200 for _, n in written)
+    plan = written[-1][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.index("row_number") < plan.index("LeftAnti")  # plans print from the last step down
+
+
 @FEW
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(0, 30)), st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.integers(0, 3))), max_size=60), st.integers(1, 4))
 def test_top_n_equals_brute_force(spark, items, n):
