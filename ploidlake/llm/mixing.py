@@ -4,15 +4,16 @@ Each document of a source is wanted c times, c = share * total / tokens of the s
 repeated. The whole part of c is fixed; the fraction is a probability per document. Two documents of similar size play: one
 gives mass to the other at random until one of them is 0 or 1, so every document keeps its expected copies and the sum never
 changes. Blocks of documents play on their own and leave one open document per source at most; what is left open plays on in
-a reduction tree of blocks, and one last document per source is drawn. Random numbers are hashes of document and round: a
-task that runs again gives the same answer.
+a reduction tree of blocks, and one last document per source is drawn. Random numbers are hashes of document and round, and
+equal rows are told apart by their number among themselves: a task that runs again, or rows in other partitions, give the
+same answer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ploidlake.functions.ids import clean_label
@@ -23,15 +24,20 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: Characters encoded at once; longer texts are cut where a piece begins in any case.
 STRETCH = 1 << 16
-BLOCK = 100_000
+#: Documents that play as one block, and blocks that meet at a time.
+BLOCK = 10_000
 FAN_IN = 64
+#: Rows that a task gathers before it plays, and equal rows numbered together.
+BUFFER = 100_000
 #: Most rows of the table of targets, which is planned on the driver.
 MAX_SOURCES = 100_000
 _ROUNDED = "id bigint, source string, tokens bigint, tie bigint, block bigint, p double"
 
 
-def token_counts(path: str = TOKENIZER, pattern: str = PATTERN):
-    """An Arrow function from texts to their token counts; null for null."""
+def token_counts(spark: SparkSession, path: str = TOKENIZER, pattern: str = PATTERN):
+    """An Arrow function from texts to their token counts; null for null. The vocabulary goes to every executor as a file."""
+    spark.sparkContext.addFile(path)
+    name = path.rsplit("/", 1)[-1]
 
     def count(texts):
         import base64
@@ -39,10 +45,11 @@ def token_counts(path: str = TOKENIZER, pattern: str = PATTERN):
 
         import pyarrow as pa
         import tiktoken
+        from pyspark import SparkFiles
 
         kept = count.__dict__
         if "encoding" not in kept:
-            with open(path, "rb") as f:
+            with open(SparkFiles.get(name), "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
             kept["encoding"] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         encode = kept["encoding"].encode_ordinary
@@ -67,15 +74,16 @@ def token_counts(path: str = TOKENIZER, pattern: str = PATTERN):
 def sized(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """``(doc_id, source, tokens)`` of rows with a source (lower case, no outer blanks); a null text has 0 tokens."""
     named = documents.select("doc_id", clean_label("source").alias("source"), "text").filter("source is not null")
-    return named.select("doc_id", "source", F.coalesce(token_counts(path)("text"), F.lit(0)).alias("tokens"))
+    return named.select("doc_id", "source", F.coalesce(token_counts(documents.sparkSession, path)("text"), F.lit(0)).alias("tokens"))
 
 
 def plan(sizes: DataFrame, targets: DataFrame, exact_shares: bool = False) -> list[dict]:
     """One entry per row of ``targets``: source as spelled there, its tokens, tokens wanted, copies per document.
 
     The total is that of the listed sources' tokens; sources short of it give all they may. With ``exact_shares`` it
-    shrinks until no source that has tokens is short. Null shares and repeats count as 0; sources without documents
-    have 0 tokens; of several rows for a source the first by spelling counts.
+    shrinks until no source that has tokens and may give any is short, which leaves out more of the others. Null shares
+    and repeats count as 0; sources without documents have 0 tokens; of several rows for a source the first by spelling
+    counts.
     """
     rows = targets.select("source", clean_label("source").alias("key"), "target_share", "max_repeats").filter("key is not null").orderBy("source").limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
@@ -84,7 +92,7 @@ def plan(sizes: DataFrame, targets: DataFrame, exact_shares: bool = False) -> li
     have = {r.source: r for r in sizes.join(targets.select(clean_label("source").alias("source")).distinct(), "source", "left_semi").groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")).collect()}  # <= rows of targets
     total = sum(r.tokens for r in have.values())
     if exact_shares:
-        total = min([total, *((r.max_repeats or 0) * have[r.key].tokens / r.target_share for r in rows if r.key in have and have[r.key].tokens and r.target_share)])
+        total = min([total, *(r.max_repeats * have[r.key].tokens / r.target_share for r in rows if r.key in have and have[r.key].tokens and r.target_share and r.max_repeats)])
     out = []
     for r in rows:
         tokens, share, most = (have[r.key].tokens if r.key in have else 0), r.target_share or 0.0, r.max_repeats or 0
@@ -102,6 +110,7 @@ def _play(seed: int, last: bool):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         u = np.uint64
 
@@ -154,10 +163,9 @@ def _play(seed: int, last: bool):
                 continue
             held.append(batch)
             size += batch.num_rows
-            if size >= BLOCK:
+            if size >= BUFFER:
                 t = pa.Table.from_batches(held)
-                end = (t["block"][-1].as_py(), t["source"][-1].as_py())
-                same = np.flatnonzero((t["block"].to_numpy() != end[0]) | (np.asarray(t["source"].to_pylist(), object) != end[1]))
+                same = np.flatnonzero((t["block"].to_numpy() != t["block"][-1].as_py()) | pc.not_equal(t["source"], t["source"][-1]).to_numpy())
                 cut = int(same[-1]) + 1 if len(same) else 0
                 if cut:
                     yield from done(t.slice(0, cut))
@@ -168,11 +176,20 @@ def _play(seed: int, last: bool):
     return run
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows ``doc_id, source, tokens, ...`` with ``nth``, the number among equal rows; very many equal ones in portions."""
+    once = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    few = once.filter(F.col("n") <= BUFFER).withColumn("from", F.lit(0).cast("bigint"))
+    many = once.filter(F.col("n") > BUFFER).withColumn("from", F.explode(F.expr(f"sequence(0L, n - 1, {BUFFER}L)"))).repartition("doc_id", "from")
+    return few.unionByName(many).withColumn("nth", F.explode(F.expr(f"sequence(`from`, least(n, `from` + {BUFFER}) - 1)"))).drop("n", "from")
+
+
 def mix(sizes: DataFrame, planned: list[dict], seed: int = 17, block: int = BLOCK, fan_in: int = FAN_IN) -> DataFrame:
     """``(doc_id, source, tokens, copies)``: rows of the listed sources, and how often each is taken.
 
-    ``copies`` is the whole part or one more of what the plan has; their sum over a source is within one of its plan.
-    Repeated rows are rows of their own. Without documents or targets there are no rows.
+    ``copies`` is the whole part or one more of what the plan has; their sum over a source is within one of its plan. It
+    depends on the rows and ``seed`` alone. Repeated rows are rows of their own. Without documents or targets there are no
+    rows.
     """
     spark = sizes.sparkSession
     stages = Stages(spark, "mix")
@@ -180,8 +197,10 @@ def mix(sizes: DataFrame, planned: list[dict], seed: int = 17, block: int = BLOC
     rate = F.broadcast(spark.createDataFrame(rates, "source string, spelled string, base int, p double"))  # <= MAX_SOURCES rows
     rows = sizes.join(rate, "source")
     blocks = max(1, -(-sum(x["docs"] for x in planned) // block))
-    tie = F.xxhash64("doc_id", "tokens", "source", F.monotonically_increasing_id())
-    play = rows.select(F.col("doc_id").alias("id"), "source", "tokens", tie.alias("tie"), F.lit(0).cast("bigint").alias("block"), "p").withColumn("block", F.pmod("tie", F.lit(blocks)))
+    # The hash that deals blocks is another one than the tie, which the random numbers come from.
+    told = _numbered(rows.select("doc_id", "source", "tokens", "p"))
+    tie = F.xxhash64("doc_id", "tokens", "source", "nth")
+    play = told.select(F.col("doc_id").alias("id"), "source", "tokens", tie.alias("tie"), F.pmod(F.xxhash64(F.lit("block"), "doc_id", "tokens", "source", "nth"), F.lit(blocks)).alias("block"), "p")
     order = ["block", "source", "tokens", "id", "tie"]
     fair = spark.conf.get("spark.sql.shuffle.partitions")
     played = stages.write(play.repartition(min(blocks, max(1, int(fair))) if blocks < int(fair) else int(fair), "block").sortWithinPartitions(*order).mapInArrow(_play(seed, blocks == 1), _ROUNDED))
@@ -204,22 +223,31 @@ def _ready(documents: DataFrame, path: str) -> DataFrame:
     return Stages(documents.sparkSession, "sizes").write(sized(documents, path))
 
 
-def mixture(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, exact_shares: bool = True) -> DataFrame:
-    """``(doc_id, source, tokens, copies)`` of the mixture."""
+def mixture(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, exact_shares: bool = False) -> DataFrame:
+    """``(doc_id, source, tokens, copies)`` of the mixture: as large as the listed sources, or as ``exact_shares`` allow."""
     sizes = _ready(documents, path)
     return mix(sizes, plan(sizes, targets, exact_shares))
 
 
-def shares(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, exact_shares: bool = True) -> DataFrame:
-    """``(source, target_share, max_repeats, source_tokens, mixed_tokens, reached_share, max_copies)`` per row of targets."""
+def shares(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, exact_shares: bool = False) -> DataFrame:
+    """A row per row of targets: what the source has and gives, and the share it reaches.
+
+    ``(source, target_share, max_repeats, source_tokens, wanted_tokens, mixed_tokens, left_out_tokens, reached_share,
+    max_copies)``. ``left_out_tokens``: those of documents not taken once. Where sources fall short, the mixture is smaller
+    than wanted and the others' shares are larger; with ``exact_shares`` it shrinks instead.
+    """
+    spark = documents.sparkSession
     sizes = _ready(documents, path)
     planned = plan(sizes, targets, exact_shares)
-    got = mix(sizes, planned).groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"), F.max("copies").alias("max_copies"))
-    table = documents.sparkSession.createDataFrame([(x["source"], float(x["target_share"]), int(x["max_repeats"]), int(x["tokens"])) for x in planned], "source string, target_share double, max_repeats int, source_tokens bigint")
-    got = Stages(documents.sparkSession, "shares").write(got)
+    unused = F.sum(F.when(F.col("copies") == 0, F.col("tokens")).otherwise(0))
+    got = mix(sizes, planned).groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"), unused.alias("left_out_tokens"), F.max("copies").alias("max_copies"))
+    got = Stages(spark, "shares").write(got)
+    rows = [(x["source"], float(x["target_share"]), int(x["max_repeats"]), int(x["tokens"]), float(x["wanted"])) for x in planned]
+    table = spark.createDataFrame(rows, "source string, target_share double, max_repeats int, source_tokens bigint, wanted_tokens double")
     total = got.agg(F.sum("mixed_tokens")).first()[0] or 0
-    joined = table.join(got, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0)))
-    return joined.select("source", "target_share", "max_repeats", "source_tokens", "mixed_tokens", F.expr(f"mixed_tokens / nullif({total}D, 0D)").alias("reached_share"), F.coalesce("max_copies", F.lit(0)).alias("max_copies"))
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("mixed_tokens", "left_out_tokens", "max_copies")}
+    joined = table.join(got, "source", "left").withColumns(none).withColumn("reached_share", F.expr(f"mixed_tokens / nullif({total}D, 0D)"))
+    return joined.select("source", "target_share", "max_repeats", "source_tokens", "wanted_tokens", "mixed_tokens", "left_out_tokens", "reached_share", "max_copies")
 
 
 def short_sources(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER) -> DataFrame:

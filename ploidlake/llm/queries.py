@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ploidlake.functions.ids import clean_label
 from ploidlake.llm import components, cooccur, digests, leakage, mixing, readability, topn
 from ploidlake.runtime import table
 
@@ -25,16 +26,23 @@ def _days(s, d):
 
 
 def _limits(s, d):
-    """``(source, within_repeats, sum_kept)``: whether copies stay within the limit and within one of what is planned."""
+    """What the rounding keeps to, with characters for sizes, which SQL can count: ``docs`` rows, ``docs_in_range`` of them
+    taken as often as planned or once less or more and never too often, and copies in all between two neighbouring sums.
+
+    Blocks are small, so that the reduction tree has levels at every size.
+    """
     from pyspark.sql import functions as F
 
-    targets = table(s, d, "mix_targets")
-    sizes = mixing._ready(table(s, d, "documents"), mixing.TOKENIZER)
-    planned = mixing.plan(sizes, targets)
-    want = s.createDataFrame([(x["source"], int(x["max_repeats"]), float(x["copies"]) * x["docs"]) for x in planned], "source string, most int, copies_planned double")
-    got = mixing.mix(sizes, planned).groupBy("source").agg(F.sum("copies").alias("copies"), F.max("copies").alias("top"))
-    zero = F.lit(0)
-    return want.join(got, "source", "left").select("source", (F.coalesce("top", zero) <= F.col("most")).alias("within_repeats"), (F.abs(F.coalesce("copies", zero) - F.col("copies_planned")) <= 1.000001).alias("sum_kept"))
+    sizes = table(s, d, "documents").select("doc_id", clean_label("source").alias("source"), F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("tokens")).filter("source is not null")
+    planned = mixing.plan(sizes, table(s, d, "mix_targets"))
+    want = s.createDataFrame([(x["source"], int(x["max_repeats"]), float(x["copies"]), int(x["docs"])) for x in planned], "source string, most int, each double, n bigint")
+    got = mixing.mix(sizes, planned, block=50, fan_in=4)
+    got = got.join(F.broadcast(want.drop("n")), "source")  # a row per row of targets, which the plan bounds
+    in_range = (F.abs(F.col("copies") - F.col("each")) < 1) & (F.col("copies") <= F.col("most"))
+    per = got.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.count_if(in_range).alias("docs_in_range"), F.sum("copies").alias("copies"))
+    planned_sum, zero = F.round(F.col("each") * F.col("n"), 6), F.lit(0).cast("bigint")
+    joined = want.join(per, "source", "left").withColumns({c: F.coalesce(c, zero) for c in ("docs", "docs_in_range", "copies")})
+    return joined.select("source", "docs", "docs_in_range", F.least("copies", F.floor(planned_sum)).alias("copies_at_least"), F.greatest("copies", F.ceil(planned_sum)).alias("copies_at_most"))
 
 
 QUERIES = {
@@ -61,6 +69,7 @@ QUERIES = {
     "p9_profile": lambda s, d: readability.level_profile(table(s, d, "documents")),
 }
 
+_LABEL = "nullif(lower(trim(source, E' \\t\\r\\n')), '')"
 _ID = "nullif(nullif(trim({0}, E' \\t\\r\\n'), ''), '*')"
 _GROUPS = f"""
 with recursive e as (select distinct {_ID.format("query_id")} as a, {_ID.format("target_id")} as b from self_paf),
@@ -94,7 +103,12 @@ select contig_id, load_day, count(*) as windows, min(depth) as low, max(depth) a
   (select contig_id, win_start, max(depth) as depth, cast(min(loaded_at) as date) as load_day from depth_win where contig_id is not null and depth >= 0 and isfinite(depth) group by 1, 2) group by 1, 2""",
     "p6_found": f"select ctg_i, ctg_j from ({_PAIRS}) where links >= 8 and links * all_reads >= 5 * reads_i * reads_j",
     "p6_pairs": _PAIRS,
-    "p8_limits": "select source, true as within_repeats, true as sum_kept from mix_targets where source is not null",
+    "p8_limits": f"""
+with d as (select {_LABEL} as key, length(text) as size from documents where {_LABEL} is not null),
+t as (select source, {_LABEL} as key, coalesce(target_share, 0) as share, coalesce(max_repeats, 0) as most from mix_targets where {_LABEL} is not null),
+h as (select t.source, share, most, count(d.key) as docs, coalesce(sum(size), 0) as size from t left join d using (key) group by all),
+w as (select *, case when size > 0 then least(share * (select sum(size) from h) / size, most) else 0 end as each from h)
+select source, docs, docs as docs_in_range, cast(floor(round(each * docs, 6)) as bigint) as copies_at_least, cast(ceil(round(each * docs, 6)) as bigint) as copies_at_most from w""",
     "p9_counts": r"""
 select doc_id, w as n_words, case when w > 0 then s else 0 end as n_sentences, c as n_chars from (
   select doc_id, coalesce(len(regexp_extract_all(text, '[^\s\p{Z}]*[\p{L}\p{N}][^\s\p{Z}]*')), 0) as w, 1 + coalesce(len(regexp_extract_all(text, '[.!?…][\s\p{Z}]+\p{Lu}')), 0) as s, coalesce(len(regexp_extract_all(text, '[\p{L}\p{N}]')), 0) as c from documents)""",

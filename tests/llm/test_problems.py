@@ -317,7 +317,7 @@ def test_sums_and_limits_of_the_mixture(spark):
     s = sizes(spark, [(rnd.choice("aaaaab"), rnd.randrange(0, 200)) for _ in range(3000)] + [("other", 50)])
     t = spark.createDataFrame([("A ", 0.6, 2, 1), ("b", 0.3, 3, 1), ("none", 0.1, 4, 1)], TARGETS)
     planned = mixing.plan(s, t)
-    for block, fan in ((100_000, 64), (100, 3)):
+    for block, fan in ((100_000, 64), (100, 3)):  # one block, and a tree of four levels
         got = mixing.mix(s, planned, block=block, fan_in=fan).collect()
         assert len(got) == s.filter("source in ('a', 'b')").count()
         for p in planned[:2]:
@@ -328,6 +328,26 @@ def test_sums_and_limits_of_the_mixture(spark):
     assert [p["short"] for p in planned] == [False, False, True] or [p["short"] for p in planned] == [False, True, True]
 
 
+def test_copies_depend_on_the_rows_alone(spark, monkeypatch):
+    docs = [(i % 700, "a" if i % 3 else "b", 10 + i % 5) for i in range(1500)] + [(1, "a", 10)] * 300
+    planned = [{"key": k, "source": k, "copies": c, "docs": 1800} for k, c in (("a", 0.37), ("b", 1.6))]
+    df = spark.createDataFrame(docs, "doc_id bigint, source string, tokens bigint")
+
+    def copies(df):
+        return rows(mixing.mix(df, planned, block=100, fan_in=4))
+
+    want = copies(df.coalesce(1))
+    assert len(want) == 1800 and copies(df.repartition(7)) == want
+    monkeypatch.setattr(mixing, "BUFFER", 70)  # equal rows in portions, blocks over several buffers
+    assert copies(df.orderBy(df.tokens.desc())) == want
+
+
+def test_sources_that_may_give_nothing_dont_empty_the_mixture(spark):
+    s = sizes(spark, [("a", 100), ("b", 100), ("c", 100)])
+    t = spark.createDataFrame([("a", 0.5, 3, 1), ("b", 0.25, 0, 1), ("c", 0.25, None, 1)], TARGETS)
+    assert [x["copies"] for x in mixing.plan(s, t, True)] == [1.5, 0.0, 0.0]
+
+
 def test_each_document_keeps_its_chance(spark):
     s = sizes(spark, [("a", 10)] * 40)
     planned = [{"key": "a", "source": "a", "copies": 0.3, "docs": 40}]
@@ -343,6 +363,9 @@ def test_short_sources_and_shares(spark):
     t = spark.createDataFrame([("Big", 0.5, 1, 1), ("small", 0.3, 2, 1), ("empty", 0.1, 9, 1), ("Nobody", 0.1, 9, 1), ("zero", None, None, 1)], TARGETS)
     assert rows(mixing.short_sources(docs, t)) == [("Nobody",), ("empty",), ("small",)]
     got = {r.source: r for r in mixing.shares(docs, t).collect()}
+    assert got["Big"].mixed_tokens + got["Big"].left_out_tokens == got["Big"].source_tokens and abs(got["Big"].mixed_tokens / got["Big"].wanted_tokens - 1) < 0.02
+    assert got["small"].mixed_tokens == 2 * got["small"].source_tokens and got["small"].left_out_tokens == 0
+    got = {r.source: r for r in mixing.shares(docs, t, exact_shares=True).collect()}
     assert abs(got["Big"].reached_share / got["small"].reached_share - 5 / 3) < 0.15 and got["small"].max_copies == 2
     assert mixing.short_sources(docs, t.limit(0)).count() == 0
     assert rows(mixing.short_sources(docs.limit(0), t)) == []
