@@ -27,6 +27,8 @@ TILE = 1 << 19
 TIME_TILE = 3_600_000_000
 #: Partial results merged at a time.
 FAN_IN = 8
+#: Most crowded keys and tiles that are told to every task; more of them are joined.
+MAX_TOLD = 100_000
 #: Rows or intervals that a task gathers before it merges them.
 BUFFER = 1 << 18
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -198,8 +200,11 @@ def _merger(keys: list[str], lists: bool, hold_last: bool):
     return run
 
 
-def interval_lists(df: DataFrame, keys: list[str], start: str, end: str, stages: Stages, tile: float = TILE, fan_in: int = FAN_IN) -> DataFrame:
-    """One row per key and tile: ``keys, tile, starts, ends`` with sorted disjoint intervals of bigint or double."""
+def interval_lists(df: DataFrame, keys: list[str], start: str, end: str, stages: Stages, tile: float = TILE, fan_in: int = FAN_IN) -> tuple[DataFrame, list[DataFrame]]:
+    """One row per key and tile: ``keys, tile, starts, ends`` with sorted disjoint intervals of bigint or double.
+
+    Also the stages it reads, which can go once it is written.
+    """
     rows = df.select(*keys, F.col(start).alias("s"), F.col(end).alias("e")).filter(F.col("e") > F.col("s"))
     far = 9e15  # infinite starts have a tile, too
     rows = rows.withColumn("tile", F.floor(F.greatest(F.least(F.col("s") / F.lit(tile), F.lit(far)), F.lit(-far))).cast("bigint")).withColumn("node", F.spark_partition_id().cast("bigint"))
@@ -209,19 +214,25 @@ def interval_lists(df: DataFrame, keys: list[str], start: str, end: str, stages:
     by = [*keys, "tile"]
     parts = partition_bound(rows)
     partial = rows.mapInArrow(_merger(keys, lists=False, hold_last=False), schema)
+    calm, read = [], []
     if parts > fan_in:
         partial = stages.write(partial)
-        per_group = partial.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > fan_in)
-        while parts > fan_in and not per_group.isEmpty():
-            marked = partial.join(per_group, by, "left")
-            calm = marked.filter(F.col("__n").isNull()).drop("__n")
-            crowded = marked.filter(F.col("__n").isNotNull()).drop("__n").withColumn("node", F.floor(F.col("node") / fan_in).cast("bigint"))
-            merged = crowded.repartition(*by, "node").sortWithinPartitions(*by, "node").mapInArrow(_merger([*keys], True, False), schema)
-            done, partial = partial, stages.write(calm.unionByName(merged))
-            stages.drop(done)
-            parts = -(-parts // fan_in)
-            per_group = partial.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > fan_in)
-    return partial.repartition(*by).sortWithinPartitions(*by).mapInArrow(_merger(keys, True, True), schema).drop("node")
+        read.append(partial)
+    while parts > fan_in:
+        crowded = stages.write(partial.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fan_in).select(*by))
+        read.append(crowded)
+        many = crowded.count()
+        if not many:
+            break
+        crowded = crowded.hint("broadcast" if many <= MAX_TOLD else "merge")  # few are told to all tasks, so that lists stay where they are
+        calm.append(partial.join(crowded, by, "left_anti"))
+        up = partial.join(crowded, by, "left_semi").withColumn("node", F.floor(F.col("node") / fan_in).cast("bigint"))
+        partial = stages.write(up.repartition(*by, "node").sortWithinPartitions(*by, "node").mapInArrow(_merger(keys, True, False), schema))
+        read.append(partial)
+        parts = -(-parts // fan_in)
+    for rest in calm:
+        partial = partial.unionByName(rest)
+    return partial.repartition(*by).sortWithinPartitions(*by).mapInArrow(_merger(keys, True, True), schema).drop("node"), read
 
 
 def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, tile: float | None = None, fan_in: int = FAN_IN) -> DataFrame:
@@ -241,7 +252,9 @@ def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, tile:
     renamed = [f"k{i}" for i in range(len(keys))]
     slim = df.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed, strict=True)], ticks(F.col(start).cast(kind)).alias("i_start"), ticks(F.col(end).cast(kind)).alias("i_end"))
     stages = Stages(df.sparkSession, "intervals")
-    lists = stages.write(interval_lists(slim, renamed, "i_start", "i_end", stages, tile, fan_in).withColumn("reach", F.element_at("ends", -1)))
+    lists, read = interval_lists(slim, renamed, "i_start", "i_end", stages, tile, fan_in)
+    lists = stages.write(lists.withColumn("reach", F.element_at("ends", -1)))
+    stages.drop(*read)
     key, by = Window.partitionBy(*renamed), [*renamed, "tile"]
     before = key.orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)
     seams = lists.select(*by, "reach").select(*by, F.max("reach").over(before).alias("carry"), F.max("reach").over(key).alias("key_reach"), F.count(F.lit(1)).over(key).alias("tiles"))
