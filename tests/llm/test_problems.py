@@ -236,7 +236,7 @@ def plain(text):
     return re.findall(r"[^\W_]+", unicodedata.normalize("NFKC", re.sub("[​-‍﻿­]", "", text)).lower())
 
 
-def test_exact_windows_equal_brute_force(spark):
+def test_exact_windows_equal_brute_force(spark, monkeypatch):
     rnd = random.Random(3)
     items = [(i, " ".join(rnd.choices(WORDS, k=rnd.randrange(8, 30)))) for i in range(12)]
     docs = []
@@ -258,9 +258,11 @@ def test_exact_windows_equal_brute_force(spark):
             want |= {(d, i) for i in grams.get(tuple(plain(t)[k : k + 13]), ())}
     ds = spark.createDataFrame([*docs, (99, None), (None, items[0][1]), (100, "")], "doc_id bigint, text string")
     its = spark.createDataFrame([(i, "s", t, None) for i, t in items] + [(50, "s", None, None), (None, "s", docs[0][1], None)], "item_id bigint, suite string, item_text string, id string")
-    for probe in (leakage.MAX_PROBE, 0):  # with and without the hashes at every task
-        got = leakage.matches(ds, its, "doc_id", "text", "item_id", "item_text", max_probe=probe).filter("exact_windows > 0")
-        assert {(r.doc_id, r.item_id) for r in got.collect()} == want and want
+    for bits in (leakage.MAX_BITS, 1 << 10):  # a filter that lets few windows pass, and one that lets nearly all
+        monkeypatch.setattr(leakage, "MAX_BITS", bits)
+        for exact in (True, False):
+            got = leakage.matches(ds, its, "doc_id", "text", "item_id", "item_text", exact=exact).filter("exact_windows > 0")
+            assert {(r.doc_id, r.item_id) for r in got.collect()} == want and want
 
 
 ITEM = "A merchant in the old harbour buys 12 crates from Anna and sells 5 crates to Anna before the evening bell rings twice"
@@ -281,6 +283,63 @@ def test_reparameterised_texts_are_found_and_inconsistent_slots_are_not(spark):
     assert kinds(spark, middle.replace("buys", "steals")) == []
 
 
+HAND = [  # language, item, the same with other parameters, another meaning
+    ("en", "On Monday the tailor in Dover sold 14 metres of blue cloth to Harriet, who paid 33 pounds and carried it home to Whitby before dark.",
+     "On Monday the tailor in Leeds sold 27 metres of blue cloth to Gloria, who paid 41 pounds and carried it home to Barnsley before dark.",
+     "On Monday the farmer in Dover hid 14 metres of blue rope for Harriet, who stole 33 pounds and dragged it home to Whitby before noon."),
+    ("de", "Der alte Gärtner pflanzt in Bremen vier Bäume für Annegret und gießt die jungen Rosen an der Mauer jeden Abend mit 12 Litern Wasser aus dem Brunnen.",
+     "Der alte Gärtner pflanzt in Kassel sieben Bäume für Roswitha und gießt die jungen Rosen an der Mauer jeden Abend mit 30 Litern Wasser aus dem Brunnen.",
+     "Der alte Richter pflanzt in Bremen vier Zäune für Annegret und gießt die jungen Hunde an der Brücke jeden Morgen mit 12 Litern Suppe aus dem Kessel."),
+    ("fr", "Le vieux boulanger de Nantes prépare 25 pains pour Élodie et garde les trois plus beaux dans un panier près de la porte de son jardin.",
+     "Le vieux boulanger de Rennes prépare 60 pains pour Margaux et garde les quatre plus beaux dans un panier près de la porte de son jardin.",
+     "Le vieux chasseur de Nantes prépare 25 pièges pour Élodie et cache les trois plus gros dans un fossé près de la route de son village."),
+    ("es", "La maestra de Toledo reparte 18 libros entre los niños y Marta lee con calma dos cuentos antes de salir al patio con la clase entera.",
+     "La maestra de Huelva reparte 44 libros entre los niños y Lucía lee con calma tres cuentos antes de salir al patio con la clase entera.",
+     "La maestra de Toledo esconde 18 premios entre los árboles y Marta busca con prisa dos monedas antes de salir al bosque con la clase entera."),
+]
+
+
+def test_own_passages_in_four_languages(spark):
+    items = spark.createDataFrame([(k, "s", lang, t) for k, (lang, t, *_) in enumerate(HAND)], "item_id bigint, suite string, lang string, item_text string")
+    docs = spark.createDataFrame([(10 * kind + k, lang.upper(), ts[kind]) for k, (lang, *ts) in enumerate(HAND) for kind in range(3)], "doc_id bigint, lang string, text string")
+    got = {(r.doc_id, r.item_id, r.kind) for r in leakage.leaks(docs, items).collect()}
+    assert got == {(k, k, "exact") for k in range(4)} | {(10 + k, k, "reparameterised") for k in range(4)}
+
+
+def test_german_nouns_are_no_names(spark):
+    item = "Der Kaufmann stellt den Korb vor das Haus, und die Tochter trägt das Brot auf den Markt in der Stadt"
+    other = "Der Soldat stellt den Eimer vor das Schiff, und die Gräfin trägt das Schwert auf den Turm in der Wüste"
+    items = spark.createDataFrame([(1, "s", "de", item)], "item_id bigint, suite string, lang string, item_text string")
+    docs = spark.createDataFrame([(1, "de", other)], "doc_id bigint, lang string, text string")
+    assert leakage.leaks(docs, items).count() == 0
+
+
+PLACES = re.compile(r"\b(in|beside|neben|à|devant|en|ante) ([A-Z]\w+)")
+NOUNS = {"en": r"\b([Tt]he) (\w+)", "de": r"\b([Dd](?:er|ie|as|en)) ([A-ZÄÖÜ]\w+)", "fr": r"\b([Ll][ea]) (\w+)", "es": r"\b([Ee]l|[Ll]a) (\w+)"}
+
+
+def test_items_of_the_tables_with_other_parameters_and_with_other_words(spark, data):
+    """Every item once with other numbers and places, and once with other nouns, among the documents."""
+    rnd = random.Random(12)
+    items = [r for r in spark.read.parquet(f"{data}/eval_items.parquet").collect() if r.lang in NOUNS and len(plain(r.item_text)) >= 13]
+    nouns = {x: sorted({m[1] for r in items if r.lang == x for m in re.findall(p, r.item_text)}) for x, p in NOUNS.items()}
+    docs = []
+    for r in items:
+        seen = {}
+        text = PLACES.sub(lambda m: m[1] + " " + seen.setdefault(m[2], f"Q{''.join(rnd.choices('aeiou', k=2))}{m[2][::-1].lower()}"), r.item_text)  # noqa: B023
+        docs.append((10**9 + r.item_id, r.lang, re.sub(r"\d+", lambda m: str(int(m[0]) + 7), text)))
+        docs.append((2 * 10**9 + r.item_id, r.lang, re.sub(NOUNS[r.lang], lambda m: m[1] + " " + rnd.choice([n for n in nouns[r.lang] if n != m[2]]), r.item_text)))  # noqa: B023
+    corpus = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang", "text").unionByName(spark.createDataFrame(docs, "doc_id bigint, lang string, text string"))
+    got = leakage.leaks(corpus, spark.read.parquet(f"{data}/eval_items.parquet")).filter("doc_id >= 1000000000").collect()
+    lang = {r.item_id: r.lang for r in items}
+    for x in NOUNS:
+        n = sum(v == x for v in lang.values())
+        right = {r.doc_id - 10**9 for r in got if r.doc_id < 2 * 10**9 and r.doc_id - 10**9 == r.item_id and lang[r.item_id] == x}
+        wrong = {(r.doc_id, r.item_id) for r in got if r.doc_id > 2 * 10**9 and lang[r.doc_id - 2 * 10**9] == x}
+        print(x, "items", n, "recall", len(right) / n, "precision", len(right) / max(1, len(right) + len(wrong)))
+        assert len(right) >= 0.9 * n and len(wrong) <= 0.05 * n
+
+
 def test_very_long_text_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "word " * 300_000 + ITEM + " word" * 5)], "doc_id bigint, text string")
     items = spark.createDataFrame([(7, "s", ITEM)], "item_id bigint, suite string, item_text string")
