@@ -6,7 +6,8 @@ smallest vertex of every component holds the whole component and each other vert
 rows, never arrays, so a component with a third of all vertices is no unit of work: the minima form with partial
 aggregation, and the join that hands them out gives vertices with very large sets (fewer than a fixed number) to all tasks,
 so their rows stay where they are. Every few rounds finished components leave: those whose vertices all hold just their
-smallest member, with no pair that leads out. Long chains then don't make the others go round with them.
+smallest member, with no pair that leads out. Long chains then don't make the others go round with them. That a component
+is finished is told to its vertices by its smallest one; the largest components' rows stay where they are then, too.
 """
 
 from __future__ import annotations
@@ -55,8 +56,16 @@ def hash_to_min(edges: DataFrame, left: str, right: str) -> DataFrame:
             both = near.filter("mu is not null").unionByName(rest)
             unfinished = both.filter("m <> mu or (v <> m and n > 1)").select(F.explode(F.array("m", "mu")).alias("m")).distinct()
             unfinished = stages.write(unfinished)
-            settled.append(stages.write(lowest.select("v", "m").join(unfinished, "m", "left_anti").select("v", F.col("m").alias("g"))))
-            told = told.join(unfinished, "m", "left_semi")
+            # All rows of a component may have one m: those of very many rows (fewer than BIG_SETS) are looked up by broadcast.
+            crowded = stages.write(told.groupBy("m").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > limit).select("m").join(unfinished.withColumn("open", F.lit(True)), "m", "left"))
+
+            def where(rows: DataFrame, is_open: bool, crowded: DataFrame = crowded, unfinished: DataFrame = unfinished) -> DataFrame:
+                """Rows of components that are unfinished, or not."""
+                few = rows.join(F.broadcast(crowded.select("m")), "m", "left_anti").join(unfinished.hint("merge"), "m", "left_semi" if is_open else "left_anti")
+                return few.unionByName(rows.join(F.broadcast(crowded.filter("open is not null" if is_open else "open is null").select("m")), "m", "left_semi"))
+
+            settled.append(stages.write(where(lowest.select("v", "m"), False).select("v", F.col("m").alias("g"))))
+            told = where(told, True)
         sent = told.select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("p"))
         done, sets = sets, stages.write(sent.select("p.v", "p.u").distinct())
         stages.drop(done, lowest)

@@ -10,11 +10,18 @@ PERCENTS = [10, 25, 50, 75, 90, 99]
 
 
 def _bounded(s, d):
-    """``(contig_id, n, percentiles, within_bound)``: what is certified about each contig's percentiles."""
+    """Ranks of the estimates, counted anew by a plain join, and how far off they may be.
+
+    ``(contig_id, percent, n, below_at_most, upto_at_least)``: of ``n`` windows so many lie below the estimate at most, and
+    so many at or below it at least; a count beyond the bound of the rank error shows instead of the bound.
+    """
     from pyspark.sql import functions as F
 
-    found = digests.depth_percentiles(table(s, d, "depth_win"), PERCENTS)
-    return found.groupBy("contig_id").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("percentiles"), F.min(F.col("rank_error") <= digests.MAX_ERROR + 0.5 / F.col("n") + 1e-9).alias("within_bound"))
+    values = digests.valid_depths(table(s, d, "depth_win")).select("contig_id", "depth")
+    found = digests.depth_percentiles(table(s, d, "depth_win"), PERCENTS).select("contig_id", "percent", "estimate")
+    counted = values.join(found, "contig_id").groupBy("contig_id", "percent").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("depth") < F.col("estimate")).alias("below"), F.count_if(F.col("depth") <= F.col("estimate")).alias("upto"))
+    most, least = F.floor(((F.col("percent") + 1) * F.col("n") + 50) / 100), F.floor(((F.col("percent") - 1) * F.col("n") - 50 + 99) / 100)  # MAX_ERROR is one percent
+    return counted.select("contig_id", "percent", "n", F.greatest("below", most).alias("below_at_most"), F.least("upto", least).alias("upto_at_least"))
 
 
 def _days(s, d):
@@ -97,7 +104,9 @@ SQL = {
     "p4_found": f"select query_id, line_no from ({_RANKED})",
     "p4_ranked": _RANKED,
     "p5_found": f"select contig_id from {_DEPTHS} group by 1 having count(*) >= 20 and quantile_cont(depth, 0.9) >= 3 * median(depth)",
-    "p5_certified": f"select contig_id, count(*) as n, cast({len(PERCENTS)} as bigint) as percentiles, true as within_bound from {_DEPTHS} group by 1",
+    "p5_certified": f"""
+select contig_id, cast(percent as int) as percent, n, cast(floor(((percent + 1) * n + 50) / 100) as bigint) as below_at_most, cast(floor(((percent - 1) * n - 50 + 99) / 100) as bigint) as upto_at_least
+from (select contig_id, count(*) as n from {_DEPTHS} group by 1), (select unnest({PERCENTS}) as percent)""",
     "p5_days": """
 select contig_id, load_day, count(*) as windows, min(depth) as low, max(depth) as high from
   (select contig_id, win_start, max(depth) as depth, cast(min(loaded_at) as date) as load_day from depth_win where contig_id is not null and depth >= 0 and isfinite(depth) group by 1, 2) group by 1, 2""",

@@ -52,7 +52,7 @@ RULES = {
                 r"(?<![ctslgn])ia(?!ge)|(?<=^g)ia|(?<=l)ia(?=b)|(?<=[ct])ia(?=t)|(?<=ni)a(?=[lc])|(?<=^c)ia|(?<=s)ia(?=s)",
                 r"(?<![tscgxln])io|(?<=^l)io|(?<=t)io$|(?<=^s)io",
                 r"iu(?!s$)|(?<=d)ius$|(?<=r)ius$",
-                r"(?<=[dqlcr])ie(?=t)|(?<=ni)et|(?<![tcsn])ie(?=n[tc])|(?<=^sc)ie(?=n)|(?<=cl)ie(?=n)|ie(?=st$)|(?<=[aeiouy][^aeiouy])ie(?=rs?$)|(?<=[^aeiouy]{2})ie(?=rs?$)",
+                r"(?<=[djlcr])ie(?=t)|(?<=ni)et|(?<![tcsn])ie(?=n[tc])|(?<=^sc)ie(?=n)|(?<=cl)ie(?=n)|ie(?=st$)|(?<=[aeiouy][^aeiouy])ie(?=rs?$)|(?<=[^aeiouy]{2})ie(?=rs?$)",
                 r"(?<=cr)ea(?=[t])|(?<=[rd])ea$|(?<=id)ea|(?<=^r)ea(?=ct|li)|(?<=th)ea(?=t)|(?<=lin)ea(?=r)|(?<=ucl)ea|(?<=rop)ea|(?<=rr)ea(?=l)|(?<=cer)ea",
                 r"(?<!g)eo(?!p[lpa]|us)|(?<=^g)eo(?!r)|(?<=[ntr])eou",
                 r"ua(?!de)|(?<!g)ue(?=n|l|t(?!te))|ui(?=n[^g]|n$|d$|ds$|ty|ci)|uo(?!y)",
@@ -153,9 +153,7 @@ class Syllables:
             return max(1, sum(self.count(p) for p in parts if any(c.isalnum() for c in p)))
         bare = self.silent.sub("j", bare)
         n = len(self.nucleus.findall(bare)) + len(self.split.findall(bare)) + len(re.findall(r"\d+", bare))
-        if n > 1 and self.mute.search(bare):
-            n -= 1
-        return max(1, n)
+        return max(1, n - len(self.mute.findall(bare)))
 
 
 def syllables(word: str, lang: str = "") -> int:

@@ -65,6 +65,16 @@ def test_very_large_sets_are_not_one_task(spark, monkeypatch):
     assert components.hash_to_min(spark.createDataFrame(pairs, "a bigint, b bigint"), "a", "b").filter("group = 0").count() == 3000
 
 
+def test_components_of_any_size_settle(spark, monkeypatch):
+    """One that fills most rows, finished early and late, beside chains that are finished at other times."""
+    monkeypatch.setattr(components, "BIG_SETS", 10**9)  # all with more than 1000 rows are looked up by broadcast
+    star = [(0, i) for i in range(1, 1500)]
+    late = star + [(1499 + i, 1500 + i) for i in range(40)]
+    chains = [(10_000 * k + i, 10_000 * k + i + 1) for k in range(1, 6) for i in range(k * k)]
+    for pairs in (star + chains, late + chains):
+        assert rows(components.hash_to_min(spark.createDataFrame(pairs, "a bigint, b bigint"), "a", "b")) == sorted(union_find(pairs), key=repr)
+
+
 def test_no_pairs_no_groups(spark):
     assert components.hash_to_min(spark.createDataFrame([], "a string, b string"), "a", "b").count() == 0
 
