@@ -3,7 +3,7 @@
 Heavy items own at least a fixed share of all incidences, so there are never more than ``HEAVY`` of them. Their pairs are
 counted with a bit matrix: a task gives each basket one bit in the row of each heavy item and counts common bits. Pairs of
 light items are counted by hash: every basket emits its own. Mixed pairs come from probing a basket's list of heavy items
-with its light ones. Baskets with more light items than ``CHUNK`` are cut into chunks, and chunks meet in the cells of a
+with its light ones. Both lists of a basket stand in one row, which all three counts read. Baskets with more light items than ``CHUNK`` are cut into chunks, and chunks meet in the cells of a
 grid over the basket: a cell holds at most ``CELL`` by ``CELL`` chunks and is the unit of the join, so no basket is one task
 however many items it has. The three counts are united and compared with what chance would give.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ploidlake.functions.ids import clean_id
-from ploidlake.runtime import Stages
+from ploidlake.runtime import Stages, shuffle_width
 
 #: Bound of the number of heavy items.
 HEAVY = 256
@@ -26,12 +26,12 @@ CHUNK = 64
 CELL = 16
 #: A basket with more than one in this many rows has its size handed out by broadcast; there are fewer than this.
 HOT_BASKETS = 1000
-#: Baskets in one bit matrix.
+#: Heavy items of baskets in one bit matrix.
 MATRIX = 1 << 16
 
 
 def _bit_counts(n_items: int):
-    """mapInArrow over ``(basket, h)`` sorted by basket: ``(a, b, shared)`` for pairs of heavy items that meet in the task."""
+    """mapInArrow over ``(big)``, a basket's heavy items: ``(a, b, shared)`` for pairs of heavy items that meet in the task."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -39,12 +39,10 @@ def _bit_counts(n_items: int):
 
         total = np.zeros((n_items, n_items), np.int64)
 
-        def add(baskets, items):
-            new = np.ones(len(baskets), bool)
-            new[1:] = baskets[1:] != baskets[:-1]
-            slot = np.cumsum(new) - 1
-            bits = np.zeros((n_items, int(slot[-1]) + 1), np.uint8)
-            bits[items, slot] = 1
+        def add(lists):
+            items = np.asarray(lists.flatten())
+            bits = np.zeros((n_items, len(lists)), np.uint8)
+            bits[items, np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))] = 1
             rows = np.flatnonzero(bits.any(axis=1))
             packed = np.packbits(bits[rows], axis=1)
             packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
@@ -53,21 +51,15 @@ def _bit_counts(n_items: int):
 
         held, size = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            size += batch.num_rows
+            lists = batch.column(0)
+            if len(lists):
+                held.append(lists)
+                size += len(lists.flatten())
             if size >= MATRIX:
-                t = pa.Table.from_batches(held)
-                k, items = t["basket"].to_numpy(), t["h"].to_numpy()
-                cut = int(np.searchsorted(k, k[-1]))  # the last basket may go on in the next batch
-                if cut:
-                    add(k[:cut], items[:cut])
-                held = t.slice(cut).to_batches()
-                size = t.num_rows - cut
+                add(pa.concat_arrays(held))
+                held, size = [], 0
         if size:
-            t = pa.Table.from_batches(held)
-            add(t["basket"].to_numpy(), t["h"].to_numpy())
+            add(pa.concat_arrays(held))
         a, b = np.nonzero(total)
         if len(a):
             yield pa.record_batch([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(total[a, b])], names=["a", "b", "shared"])
@@ -96,71 +88,53 @@ def pair_counts(rows: DataFrame, basket: str, item: str, min_shared: int = 1, he
     kind = held.schema["item"].dataType.simpleString()
     numbers = F.broadcast(spark.createDataFrame([(i, k) for i, k in codes.items()], f"item {kind}, h int"))
     marked = held.join(numbers, "item", "left")
-    counts: list[DataFrame] = []
-    # heavy x heavy: one 64-bit number per basket suffices to keep a basket's rows together; equal numbers of two baskets
-    # would merge them, so the number is the basket's rank in its task and not a hash.
-    bits = marked.filter("h is not null").select("name", "h").repartition("name").sortWithinPartitions("name").mapInArrow(_ranked, "basket bigint, h int")
-    both = bits.mapInArrow(_bit_counts(max(1, len(codes))), "a int, b int, shared bigint").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
-    names = F.broadcast(spark.createDataFrame([(k, i) for i, k in codes.items()], f"a int, item_i {kind}"))
-    names_j = F.broadcast(spark.createDataFrame([(k, i) for i, k in codes.items()], f"b int, item_j {kind}"))
-    heavy_pairs = both.join(names, "a").join(names_j, "b").select("item_i", "item_j", "shared")
-    # the rest, by basket
     light = marked.filter("h is null").select("name", "item")
     if min_shared > 1:
         light = light.join(items.select("item"), "item", "left_semi")
-    sized = light.groupBy("name").agg(F.count(F.lit(1)).alias("size"))
-    heavies = marked.filter("h is not null").groupBy("name").agg(F.sort_array(F.collect_list("item")).alias("big"))  # at most ``heavy`` items each
-    large = stages.write(sized.filter(F.col("size") > chunk))
+    big = marked.filter("h is not null").select("name", "h")
+    large = stages.write(light.groupBy("name").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > chunk))
     hot = F.broadcast(large.filter(F.col("size") > incidences // HOT_BASKETS).select("name", F.col("size").alias("hot_size")))  # fewer than HOT_BASKETS rows
     # Rows of hot baskets know the size already; a salt spreads them over the join that tells the others.
     salted = light.join(hot, "name", "left").withColumn("salt", F.when(F.col("hot_size").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("item"), F.lit(1 << 20))).cast("int"))
     cut = salted.join(large.withColumn("salt", F.lit(0)), ["name", "salt"], "left").withColumn("size", F.coalesce("hot_size", "size"))
     cut = cut.withColumn("part", F.when(F.col("size").isNull(), 0).otherwise(F.pmod(F.xxhash64("item"), F.ceil(F.col("size") / chunk))).cast("int"))
-    lists = stages.write(cut.groupBy("name", "part").agg(F.sort_array(F.collect_list("item")).alias("small"), F.max("size").alias("size")))
+    # A large basket's heavy items, which are few, are a part of their own.
+    apart = big.join(large, "name", "left").withColumn("part", F.when(F.col("size").isNull(), 0).otherwise(-1))
+    both = cut.select("name", "part", "size", "item", F.lit(None).cast("int").alias("h")).unionByName(apart.select("name", "part", "size", F.lit(None).cast(kind).alias("item"), "h"))
+    lists = both.groupBy("name", "part").agg(F.sort_array(F.collect_list("item")).alias("small"), F.sort_array(F.collect_list("h")).alias("big"), F.max("size").alias("size"))
+    lists = stages.write(lists.filter("size(small) + size(big) > 1 or size is not null"))  # a lone item of a basket meets nothing
+    # heavy x heavy, with as many tasks as there are for other work: popcounts are much work for little data
+    told = lists.filter("size(big) > 1").select("name", "big").repartition(shuffle_width(spark), "name").select("big")
+    pairs = told.mapInArrow(_bit_counts(max(1, len(codes))), "a int, b int, shared bigint").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+    names = F.broadcast(spark.createDataFrame([(k, i) for i, k in codes.items()], f"a int, item_i {kind}"))
+    names_j = F.broadcast(spark.createDataFrame([(k, i) for i, k in codes.items()], f"b int, item_j {kind}"))
+    heavy_pairs = pairs.join(names, "a").join(names_j, "b").select("item_i", "item_j", "shared")
+    # light x light
     own = F.expr("flatten(transform(small, (x, i) -> transform(slice(small, i + 2, size(small)), y -> struct(x as a, y as b))))")
-    counts.append(_explode(lists.filter("size(small) > 1"), own))
     # Chunks of line i of the grid go to its cells (i, *) and (*, i); two chunks count in the one cell of their own lines.
     lines = F.ceil(F.ceil(F.col("size") / chunk) / CELL).cast("int")
-    more = lists.filter("size is not null").select("name", "part", "small", F.pmod("part", lines).alias("line"), F.explode(F.sequence(F.lit(0), lines - 1)).alias("other"))
+    parts = lists.filter("size is not null and part >= 0").withColumn("line", F.pmod("part", lines))
+    more = parts.select("name", "part", "small", "line", F.explode(F.sequence(F.lit(0), lines - 1)).alias("other"))
     more = more.select("name", F.least("line", "other").alias("low"), F.greatest("line", "other").alias("high"), "line", "part", "small")
     across = more.join(more.withColumnsRenamed({"line": "line2", "part": "part2", "small": "small2"}), ["name", "low", "high"])
     across = across.filter("part < part2 and least(line, line2) = low and greatest(line, line2) = high")
     cross = F.expr("flatten(transform(small, x -> transform(small2, y -> struct(least(x, y) as a, greatest(x, y) as b))))")
-    counts.append(_explode(across, cross))
-    # The list of heavy items goes once to each line of its basket.
-    probe = F.expr("flatten(transform(small, x -> transform(big, y -> struct(least(x, y) as a, greatest(x, y) as b))))")
-    asked = lists.withColumn("line", F.when(F.col("size").isNull(), 0).otherwise(F.pmod("part", lines)))
-    told = heavies.join(large, "name", "left").select("name", "big", F.explode(F.sequence(F.lit(0), F.coalesce(lines - 1, F.lit(0)))).alias("line"))
-    counts.append(_explode(asked.join(told, ["name", "line"]), probe))
-    emitted = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    emitted = _explode(lists.filter("size(small) > 1"), own, "item_i", "item_j").unionByName(_explode(across, cross, "item_i", "item_j"))
     hashed = emitted.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("shared"))
-    found = heavy_pairs.unionByName(hashed).filter(F.col("shared") >= min_shared)
+    # mixed: a large basket's list of heavy items goes once to each of its lines
+    probe = F.expr("flatten(transform(small, x -> transform(big, y -> struct(x as a, y as b))))")
+    asked = parts.drop("big").join(lists.filter("part = -1").select("name", "big", F.explode(F.sequence(F.lit(0), lines - 1)).alias("line")), ["name", "line"])
+    probed = _explode(lists.filter("size(small) > 0 and size(big) > 0"), probe, "item", "a").unionByName(_explode(asked, probe, "item", "a"))
+    mixed = probed.groupBy("item", "a").agg(F.count(F.lit(1)).alias("shared")).join(names, "a")
+    mixed = mixed.select(F.least("item", "item_i").alias("item_i"), F.greatest("item", "item_i").alias("item_j"), "shared")
+    found = heavy_pairs.unionByName(hashed).unionByName(mixed).filter(F.col("shared") >= min_shared)
     n = items.select(F.col("item"), F.col("n"))
     out = found.join(n.withColumnsRenamed({"item": "item_i", "n": "n_i"}), "item_i").join(n.withColumnsRenamed({"item": "item_j", "n": "n_j"}), "item_j")
     return out.select("item_i", "item_j", "shared", "n_i", "n_j", F.lit(baskets).cast("bigint").alias("baskets"), (F.col("shared") / F.col("n_i") * F.lit(baskets) / F.col("n_j")).alias("ratio"))
 
 
-def _explode(lists: DataFrame, pairs: Column) -> DataFrame:
-    return lists.select(F.explode(pairs).alias("p")).select(F.col("p.a").alias("item_i"), F.col("p.b").alias("item_j"))
-
-
-def _ranked(batches: Iterator) -> Iterator:
-    """Sorted baskets numbered from 0 in each task."""
-    import numpy as np
-    import pyarrow as pa
-
-    last, number = None, -1
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        names = batch.column("name")
-        codes = np.asarray(names.dictionary_encode().indices)
-        new = np.ones(len(codes), bool)
-        new[1:] = codes[1:] != codes[:-1]
-        new[0] = names[0].as_py() != last
-        ranks = number + np.cumsum(new)
-        number, last = int(ranks[-1]), names[len(names) - 1].as_py()
-        yield pa.record_batch([pa.array(ranks.astype(np.int64)), batch.column("h")], names=["basket", "h"])
+def _explode(lists: DataFrame, pairs: Column, a: str, b: str) -> DataFrame:
+    return lists.select(F.explode(pairs).alias("p")).select(F.col("p.a").alias(a), F.col("p.b").alias(b))
 
 
 def placements(read_placement: DataFrame) -> DataFrame:
