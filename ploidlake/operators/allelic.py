@@ -28,37 +28,51 @@ def top_per_bin(overlaps: DataFrame, n: int) -> DataFrame:
 def budget_per_bin(overlaps: DataFrame, types: DataFrame, ploidy: int = 4) -> DataFrame:
     """Unitigs of a bin, best first, while copies are left: a type of m copies needs a budget above m - 2 (above 0 for one copy).
 
-    Only the first ``ploidy`` unitigs can be taken, so the walk is over lists of at most that many.
+    One that doesn't fit costs nothing and the walk goes on. The budget only falls, so of one number of copies the best are
+    taken, ``ploidy`` of them at most: the walk is over lists of so many for each number, whatever else is in the bin.
     """
-    ranked = top_per_bin(overlaps, ploidy).join(types.select(F.col("contig_id").alias("query_id"), "contig_type"), "query_id", "left")
-    cost = multiplicity(F.coalesce("contig_type", F.lit("haplotig")))
-    lists = ranked.withColumn("m", cost).groupBy("target_id", "bin_start").agg(F.sort_array(F.collect_list(F.struct("rank", "query_id", "m"))).alias("us"))
+    kinds = types.select(F.col("contig_id").alias("query_id"), "contig_type")
+    costed = overlaps.join(kinds, "query_id", "left").withColumn("m", multiplicity(F.coalesce("contig_type", F.lit("haplotig"))))
+    w = Window.partitionBy("target_id", "bin_start", "m").orderBy(F.desc("overlap"), "query_id")
+    ranked = costed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= ploidy)
+    place = F.struct((-F.col("overlap")).alias("o"), "query_id", "m")
+    lists = ranked.groupBy("target_id", "bin_start").agg(F.sort_array(F.collect_list(place)).alias("us"))
     walk = f"""aggregate(us, struct({ploidy} as left, cast(array() as array<string>) as took), (acc, u) ->
       case when acc.left > greatest(0, u.m - 2) then struct(acc.left - u.m as left, concat(acc.took, array(u.query_id)) as took) else acc end, acc -> acc.took)"""
     return lists.select("target_id", "bin_start", F.explode(F.expr(walk)).alias("query_id"))
 
 
+def medians(df: DataFrame, key: list[str], column: str, out: str, width: int = 1 << 16) -> DataFrame:
+    """``(key, out)``: exact medians of whole numbers, however many a key has.
+
+    Equal values are counted first, then values in buckets of ``width``; only the buckets that hold the middle are ordered.
+    """
+    own = [f"g{i}" for i in range(len(key))]
+    values = df.groupBy(*[F.col(k).alias(g) for k, g in zip(key, own, strict=True)], F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("c")).withColumn("b", F.floor(F.col("v") / width).cast("bigint"))
+    per = values.groupBy(*own, "b").agg(F.sum("c").alias("k"))
+    whole = Window.partitionBy(*own)
+    per = per.withColumns({"n": F.sum("k").over(whole), "before": F.sum("k").over(whole.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("k")})
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    middle = per.filter((F.col("before") < high) & (F.col("before") + F.col("k") >= low)).select(*own, "b", "n", "before")
+    upto = F.col("before") + F.sum("c").over(Window.partitionBy(*own, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    held = values.join(middle, [*own, "b"]).withColumn("upto", upto)
+    taken = [F.max(F.when((F.col("upto") >= r) & (F.col("upto") - F.col("c") < r), F.col("v"))) for r in (low, high)]
+    return held.groupBy(*[F.col(g).alias(k) for k, g in zip(key, own, strict=True)]).agg(((taken[0] + taken[1]) / 2).alias(out))
+
+
 def mad_filter(aln: DataFrame, times: float = 3.0) -> DataFrame:
     """Records whose target start and end lie within ``times`` the median absolute deviation of their query and target.
 
-    Medians come from sorted windows, which spill, and not from collected values.
+    Twice the deviations are whole numbers, so all four medians are exact.
     """
     key = ["query_id", "target_id"]
-
-    def median(df: DataFrame, column: str, out: str) -> DataFrame:
-        w = Window.partitionBy(*key).orderBy(column)
-        n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-        ranked = df.select(*key, column, F.row_number().over(w).alias("rn"), n.alias("n"))
-        middle = ranked.filter((F.col("rn") >= F.floor((F.col("n") + 1) / 2)) & (F.col("rn") <= F.floor(F.col("n") / 2) + 1))
-        return middle.groupBy(*key).agg(F.avg(column).alias(out))
-
     stages = Stages(aln.sparkSession, "mad")
     aln = stages.write(aln)
-    medians = median(aln, "target_start", "ms").join(median(aln, "target_end", "me"), key)
-    off = aln.join(medians, key).withColumns({"off_s": F.abs(F.col("target_start") - F.col("ms")), "off_e": F.abs(F.col("target_end") - F.col("me"))}).drop("ms", "me")
-    off = stages.write(off)
+    centre = medians(aln, key, "target_start", "ms").join(medians(aln, key, "target_end", "me"), key)
+    off = {f"off_{x}": F.abs(2 * F.col(c) - (2 * F.col(f"m{x}")).cast("bigint")) for x, c in (("s", "target_start"), ("e", "target_end"))}
+    off = stages.write(aln.join(centre, key).withColumns(off).drop("ms", "me"))
     stages.drop(aln)
-    spread = median(off, "off_s", "ds").join(median(off, "off_e", "de"), key)
+    spread = medians(off, key, "off_s", "ds").join(medians(off, key, "off_e", "de"), key)
     return off.join(spread, key).filter((F.col("off_s") <= times * F.col("ds")) & (F.col("off_e") <= times * F.col("de"))).drop("off_s", "off_e", "ds", "de")
 
 

@@ -70,7 +70,9 @@ LINK_WEIGHT = {"haplotig": 1.0, "diplotig": 0.5, "triplotig": 0.333, "tetraploti
 #: Lower limits of the dosage classes by scheme: (limit, class), the first class that the depth reaches from the top.
 SCHEMES = {
     "base28": [(126.0, "replotig"), (98.0, "tetraplotig"), (70.0, "triplotig"), (42.0, "diplotig"), (14.0, "haplotig")],
-    "documented": [(132.0, "replotig"), (103.0, "tetraplotig"), (74.0, "triplotig"), (45.0, "diplotig"), (0.0, "haplotig")],
+    "documented": [(132.0, "replotig"), (103.0, "tetraplotig"), (74.0, "triplotig"), (45.0, "diplotig"), (15.0, "haplotig")],
+    "hexaploid": [(209.0, "replotig"), (177.0, "hexaplotig"), (145.0, "pentaplotig"), (113.0, "tetraplotig"), (81.0, "triplotig"), (49.0, "diplotig"), (17.0, "haplotig")],
+    "hexaploid21": [(137.0, "replotig"), (116.0, "hexaplotig"), (95.0, "pentaplotig"), (74.0, "tetraplotig"), (53.0, "triplotig"), (32.0, "diplotig"), (11.0, "haplotig")],
 }
 
 

@@ -10,14 +10,17 @@ from ploidlake.params import Bins, Links, Reads, Redundancy, Segments
 from ploidlake.runtime import Stages
 
 
-def mosaic_reference(sequences: DataFrame, self_paf: DataFrame, min_length: int = 10_000_000, p: Redundancy = Redundancy()) -> dict[str, DataFrame]:
+def mosaic_reference(sequences: DataFrame, self_paf: DataFrame, min_length: int = 10_000_000, p: Redundancy = Redundancy(), k: int = 21, sketch: int | None = None) -> dict[str, DataFrame]:
     """From contigs and their alignments: redundant contigs removed, collinear ones joined.
 
-    ``removed``, ``retained`` (ids), ``plans`` (how pairs join) and ``merged`` (sequences).
+    Only contigs longer than ``min_length`` take part, and only alignments between similar ones count. ``similar`` (pairs
+    with their distance), ``removed``, ``retained`` (ids), ``plans`` (how pairs join) and ``merged`` (sequences).
     """
-    aln = align.alignments(self_paf)
-    removed = align.redundant_contigs(aln, p)
-    long = sequences.filter(F.length("seq") >= min_length)
+    stages = Stages(sequences.sparkSession, "mosaic")
+    long = sequences.filter(F.length("seq") > min_length)
+    similar = stages.write(similar_contigs(long, p, k, sketch))
+    aln = stages.write(between(align.alignments(self_paf), similar))
+    removed = align.redundant_contigs(aln, p).join(long.select("contig_id"), "contig_id", "left_semi")
     retained = long.select("contig_id").join(removed, "contig_id", "left_anti")
     both = retained.select(F.col("contig_id").alias("x"))
     among = aln.join(both.withColumnRenamed("x", "query_id"), "query_id", "left_semi").join(both.withColumnRenamed("x", "target_id"), "target_id", "left_semi")
@@ -25,15 +28,18 @@ def mosaic_reference(sequences: DataFrame, self_paf: DataFrame, min_length: int
     pairs = merging.greedy_pairs(candidates.select("long_id", "short_id", "first_line"), "long_id", "short_id", "first_line")
     plans = candidates.join(pairs.select("long_id", "short_id"), ["long_id", "short_id"], "left_semi")
     kept = sequences.join(retained, "contig_id", "left_semi")
-    return {"removed": removed, "retained": retained, "plans": plans, "merged": merging.merged_sequences(plans, kept)}
+    return {"similar": similar, "removed": removed, "retained": retained, "plans": plans, "merged": merging.merged_sequences(plans, kept)}
 
 
 def similar_contigs(sequences: DataFrame, p: Redundancy = Redundancy(), k: int = 21, sketch: int | None = None) -> DataFrame:
     """Pairs of contigs near enough to be aligned, by exact k-mer sets or bottom sketches of them."""
     members = similarity.kmers(sequences, k).withColumnRenamed("kmer", "member")
-    if sketch:
-        members = similarity.sketch(members, sketch).withColumnRenamed("hash", "member")
-    return similarity.similar_pairs(members, p.max_distance, k)
+    return similarity.similar_pairs(members, p.max_distance, k, sketch)
+
+
+def between(aln: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Alignments of the pairs ``(a, b)``, in either direction."""
+    return aln.join(pairs.select("a", "b"), (F.least("query_id", "target_id") == F.col("a")) & (F.greatest("query_id", "target_id") == F.col("b")), "left_semi")
 
 
 def haplotype_groups(paf: DataFrame, hic_links: DataFrame, contigs: DataFrame, types: DataFrame, bins: Bins = Bins(), seg: Segments = Segments(), p: Links = Links(), rounds: int = 8) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ploidlake.functions import scalar as S
 from ploidlake.functions.ids import clean_label
 from ploidlake.operators import align, allelic, assign, dosage, hic, merging, reads, similarity
-from ploidlake.params import SCHEMES, Bins, Links, Reads, Redundancy, Segments
+from ploidlake.params import Bins, Links, Reads, Redundancy, Segments
 from ploidlake.queries.problems import SQL_ID
 from ploidlake.runtime import table
 from ploidlake.streaming import arrivals
@@ -103,6 +103,8 @@ QUERIES = {
     "dosage_mean": lambda s, d: dosage.mean_depth(dosage.valid_windows(table(s, d, "depth_win"))),
     "dosage_class": lambda s, d: dosage.classify(dosage.mean_depth(dosage.valid_windows(table(s, d, "depth_win")))),
     "dosage_class_alt": lambda s, d: dosage.classify(dosage.mean_depth(dosage.valid_windows(table(s, d, "depth_win"))), "documented"),
+    "dosage_class_hexa": lambda s, d: dosage.classify(dosage.mean_depth(dosage.valid_windows(table(s, d, "depth_win"))), "hexaploid"),
+    "dosage_class_hexa21": lambda s, d: dosage.classify(dosage.mean_depth(dosage.valid_windows(table(s, d, "depth_win"))), "hexaploid21"),
     "depth_hist": lambda s, d: dosage.histogram(dosage.valid_windows(table(s, d, "depth_win"))),
     "paf_filter": lambda s, d: align.primary(_aln(s, d), SEG.min_match, SEG.min_query, strict=True).select("line_no", "query_id", "target_id", "match_len"),
     "pair_stats": lambda s, d: _round(align.pair_stats(_self(s, d), RED).select("long_id", "short_id", "long_len", "short_len", "matched", "points", "ratio_long", "ratio_short"), "ratio_long", "ratio_short"),
@@ -161,10 +163,11 @@ QUERIES = {
     "re_sites": lambda s, d: _texts(s, d).select("contig_id", S.site_count(F.col("seq"), "the").alias("re_sites")),
     "flank_re_sites": lambda s, d: _texts(s, d).select("contig_id", S.site_count(S.flank_sequence(F.col("seq"), 100), "the").alias("re_sites")),
     "revcomp": lambda s, d: _texts(s, d).select("contig_id", F.md5(S.reverse_complement(F.col("seq"))).alias("digest")),
-    "kmer_counts": lambda s, d: similarity.kmers(_texts(s, d), 21, canonical=False).groupBy("contig_id").agg(F.count(F.lit(1)).alias("kmers")),
+    "kmer_counts": lambda s, d: similarity.kmers(_texts(s, d), 21).groupBy("contig_id").agg(F.count(F.lit(1)).alias("kmers")),
     "set_jaccard": lambda s, d: _round(similarity.set_pairs(_as_members(s, d)), "jaccard"),
     "mash_pairs": lambda s, d: _round(similarity.similar_pairs(_as_members(s, d)), "jaccard", "distance"),
-    "minhash_sketch": lambda s, d: similarity.sketch(_as_members(s, d), 16),
+    "minhash_sketch": lambda s, d: similarity.sketch(_as_members(s, d)),
+    "sketch_jaccard": lambda s, d: _round(similarity.sketch_pairs(similarity.sketch(_as_members(s, d), 16), 16), "jaccard"),  # small sketches of sets of many sizes
     "stream_loads": lambda s, d: arrivals.loads_per_day(s, f"{d}/paf.parquet*"),  # a pattern: the table is one file or a folder of them
     "lis_merge": lambda s, d: _round(merging.join_plans(_self(s, d), RED), "coverage", "r2"),
     "greedy_pairs": lambda s, d: merging.greedy_pairs(merging.join_plans(_self(s, d), RED).select("long_id", "short_id", "first_line"), "long_id", "short_id", "first_line"),
@@ -252,9 +255,8 @@ _MASH = "greatest(0, -ln(2 * jaccard / (1 + jaccard)) / 21)"
 _TEXTS = "x as (select cast(doc_id as varchar) as contig_id, text as seq from documents where text is not null)"
 
 
-def _class(scheme: str) -> str:
-    cases = " ".join(f"when round(average_depth, 2) >= {v} then '{c}'" for v, c in SCHEMES[scheme])
-    return f"with {_MEAN} select contig_id, average_depth, case {cases} else 'other' end as contig_type from m"
+def _class(cases: str) -> str:
+    return f"with {_MEAN} select contig_id, average_depth, case {cases} else 'other' end as contig_type from (select *, round(average_depth, 2) as d from m)"
 
 
 _UNION = f"""{_SELF}, {{0}}, len as (select query_id, target_id, max(query_len) as query_len, max(target_len) as target_len, sum(case when strand = '+' then match_len else -match_len end) as balance from a group by 1, 2)"""
@@ -271,8 +273,10 @@ _COVER = f"""{_UNION.format(_islands("query") + ", " + _islands("target"))}, cov
 
 SQL = {
     "dosage_mean": f"with {_MEAN} select * from m",
-    "dosage_class": _class("base28"),
-    "dosage_class_alt": _class("documented"),
+    "dosage_class": _class("when 0.5 * 28 <= d and d < 1.5 * 28 then 'haplotig' when 1.5 * 28 <= d and d < 2.5 * 28 then 'diplotig' when 2.5 * 28 <= d and d < 3.5 * 28 then 'triplotig' when 3.5 * 28 <= d and d < 4.5 * 28 then 'tetraplotig' when d >= 4.5 * 28 then 'replotig'"),
+    "dosage_class_alt": _class("when 15 <= d and d < 45 then 'haplotig' when 45 <= d and d < 74 then 'diplotig' when 74 <= d and d < 103 then 'triplotig' when 103 <= d and d < 132 then 'tetraplotig' when d >= 132 then 'replotig'"),
+    "dosage_class_hexa": _class("when 17 <= d and d < 49 then 'haplotig' when 49 <= d and d < 81 then 'diplotig' when 81 <= d and d < 113 then 'triplotig' when 113 <= d and d < 145 then 'tetraplotig' when 145 <= d and d < 177 then 'pentaplotig' when 177 <= d and d < 209 then 'hexaplotig' when d >= 209 then 'replotig'"),
+    "dosage_class_hexa21": _class("when 11 <= d and d < 32 then 'haplotig' when 32 <= d and d < 53 then 'diplotig' when 53 <= d and d < 74 then 'triplotig' when 74 <= d and d < 95 then 'tetraplotig' when 95 <= d and d < 116 then 'pentaplotig' when 116 <= d and d < 137 then 'hexaplotig' when d >= 137 then 'replotig'"),
     "depth_hist": f"with {_DEPTH} select cast(round_even(depth, 0) as bigint) as depth, count(*) as windows from w group by 1",
     "paf_filter": f"with {_A}, {_SEGF} select line_no, query_id, target_id, match_len from f",
     "pair_stats": f"with {_PAIRS} select long_id, short_id, long_len, short_len, matched, points, round(ratio_long, 6) as ratio_long, round(ratio_short, 6) as ratio_short from f",
@@ -336,12 +340,15 @@ p2 as (select query_id, k, 1 as no, target_id, rows, matched, first_start, last_
     case when j then p.first_start else s.first_start end, s.last_end
   from (select p2.*, n.rows < {SEG.min_rows} and n.first_start - p2.last_end <= {SEG.max_distance} as j from p2 join s2 n on n.query_id = p2.query_id and n.k = p2.k + 1) p join s2 s on s.query_id = p.query_id and s.k = p.k + 1)
 select query_id, cast(no - 1 as int) as merged_no, arg_max(target_id, k) as target_id, arg_max(rows, k) as rows, arg_max(matched, k) as matched, arg_max(first_start, k) as first_start, arg_max(last_end, k) as last_end from p2 group by 1, 2""",
-    "topn_budget": f"""with {_A}, {_overlaps("a")}, {_TYPES}, m as (select target_id, bin_start, query_id, rank, {_MULT.format("contig_type")} as m from top left join t on t.contig_id = query_id),
-w as (select target_id, bin_start, max(case rank when 1 then m end) as m1, max(case rank when 2 then m end) as m2, max(case rank when 3 then m end) as m3, max(case rank when 4 then m end) as m4 from m group by 1, 2),
-l1 as (select *, 4 > greatest(0, m1 - 2) as t1 from w), l2 as (select *, 4 - if(t1, m1, 0) as b2 from l1), l3 as (select *, b2 > greatest(0, m2 - 2) as t2 from l2),
-l4 as (select *, b2 - if(t2, m2, 0) as b3 from l3), l5 as (select *, b3 > greatest(0, m3 - 2) as t3 from l4), l6 as (select *, b3 - if(t3, m3, 0) as b4 from l5), l7 as (select *, b4 > greatest(0, m4 - 2) as t4 from l6)
-select target_id, bin_start, query_id from m join l7 using (target_id, bin_start) where case rank when 1 then t1 when 2 then t2 when 3 then t3 else t4 end""",
-    "kmer_counts": f"with {_TEXTS} select contig_id, count(distinct substr(seq, i, 21)) as kmers from (select contig_id, seq, unnest(generate_series(1, length(seq) - 20)) as i from x where length(seq) >= 21) group by 1",
+    "topn_budget": f"""with recursive {_A}, {_overlaps("a")}, {_TYPES}, o as (select target_id, bin_start, query_id, contig_type, row_number() over (partition by target_id, bin_start order by overlap desc, query_id) as k from bo left join t on t.contig_id = query_id),
+w as (select target_id, bin_start, 0::bigint as k, 4 as budget, '' as query_id, false as took from (select distinct target_id, bin_start from o)
+  union all select o.target_id, o.bin_start, o.k, case when takes then w.budget - costs else w.budget end, o.query_id, takes from w join o on o.target_id = w.target_id and o.bin_start = w.bin_start and o.k = w.k + 1,
+  lateral (select case contig_type when 'diplotig' then w.budget > 0 when 'triplotig' then w.budget > 1 when 'tetraplotig' then w.budget > 2 else w.budget > 0 end as takes, case contig_type when 'diplotig' then 2 when 'triplotig' then 3 when 'tetraplotig' then 4 else 1 end as costs)
+  where w.budget > 0)
+select target_id, bin_start, query_id from w where took""",
+    "kmer_counts": f"""with {_TEXTS}, g as (select distinct contig_id, substr(seq, i, 21) as g from (select contig_id, seq, unnest(generate_series(1, length(seq) - 20)) as i from x where length(seq) >= 21)),
+r as (select g, array_to_string(list_reverse(string_split(translate(g, 'ACGTN', 'TGCAN'), '')), '') as r from (select distinct g from g))
+select contig_id, count(distinct least(g, r)) as kmers from g join r using (g) group by 1""",
     "stream_loads": "select cast(loaded_at as date) as load_day, count(*) as stored_rows from paf group by 1",
     "linked_only": f"with {_TYPES}, {_L}, {_ADJ} select contig_id from t where contig_id in (select contig_id from adj)",
     "link_totals": f"with {_L} select * from l",
@@ -375,5 +382,10 @@ select contig_id, case when lo = hi then lo when most > 10 then first else 'Unce
     "revcomp": f"with {_TEXTS} select contig_id, md5(array_to_string(list_reverse(string_split(translate(seq, 'ACGTN', 'TGCAN'), '')), '')) as digest from x",
     "set_jaccard": f"with {_JACC} select a, b, shared, n_a, n_b, round(jaccard, 6) as jaccard from j",
     "mash_pairs": f"with {_JACC} select a, b, shared, n_a, n_b, round(jaccard, 6) as jaccard, round({_MASH}, 6) as distance from j where {_MASH} < 0.15",
-    "minhash_sketch": f"with {_READS} select contig_id, hash from (select contig_id, hash, row_number() over (partition by contig_id order by hash) as rn from (select distinct contig_id, md5(read) as hash from rs)) where rn <= 16",
+    "minhash_sketch": f"with {_READS} select contig_id, hash from (select contig_id, hash, row_number() over (partition by contig_id order by hash) as rn from (select distinct contig_id, md5(read) as hash from rs)) where rn <= 1000",
+    "sketch_jaccard": f"""with {_READS}, sk as (select contig_id, hash from (select contig_id, hash, row_number() over (partition by contig_id order by hash) as rn from (select distinct contig_id, md5(read) as hash from rs)) where rn <= 16),
+p as (select distinct x.contig_id as a, y.contig_id as b from sk x join sk y on x.hash = y.hash and x.contig_id < y.contig_id),
+u as (select a, b, hash, count(*) as c from (select a, b, hash from p join sk on contig_id = a union all select a, b, hash from p join sk on contig_id = b) group by 1, 2, 3),
+r as (select *, row_number() over (partition by a, b order by hash) as rn from u)
+select a, b, round(count(*) filter (c = 2) / count(*), 6) as jaccard from r where rn <= 16 group by 1, 2 having count(*) filter (c = 2) > 0""",
 }

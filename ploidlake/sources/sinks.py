@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fasta(sequences: DataFrame, path: str, min_length: int = 0, by: str | None = None, prefix: str = "") -> None:
-    """Sequences of at least ``min_length``; with ``by`` a folder for each value of that column."""
-    rows = sequences.filter(F.length("seq") >= min_length)
+def fasta(sequences: DataFrame, path: str, longer_than: int = 0, by: str | None = None, prefix: str = "") -> None:
+    """Sequences longer than ``longer_than``; with ``by`` a folder for each value of that column."""
+    rows = sequences.filter(F.length("seq") > longer_than)
     text = F.concat(F.lit(">" + prefix), "contig_id", F.lit("\n"), "seq").alias("value")
     (rows.select(by, text).write.partitionBy(by) if by else rows.select(text).write).text(path)
 
 
+def without_sequence(wanted: DataFrame, sequences: DataFrame) -> DataFrame:
+    """``(contig_id)``: ids that are to be written but have no sequence."""
+    return wanted.select("contig_id").distinct().join(sequences.select("contig_id"), "contig_id", "left_anti")
+
+
 def _ids(df: DataFrame, keys: list[str], ids: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sort_array(F.collect_list(ids)).alias("ids"))
 

@@ -14,13 +14,13 @@ from ploidlake.functions.scalar import site_count
 
 
 def fasta(spark: SparkSession, path: str, upper: bool = True, min_length: int = 0) -> DataFrame:
-    """``(contig_id, seq, length)``; the id is the header's first word. Of an id's repeats the longest sequence counts."""
-    records = spark.read.text(path, lineSep=">").filter(F.length(F.btrim("value", F.lit(" \n\r\t"))) > 0)
-    lines = F.split("value", "\r?\n")
+    """``(contig_id, seq, length)``; the id is the header's first word. Of an id's repeats the last in the file counts."""
+    records = spark.read.text(path, lineSep="\n>").filter(F.length(F.btrim("value", F.lit(" \n\r\t"))) > 0)
+    lines = F.split(F.regexp_replace("value", "^>", ""), "\r?\n")
     seq = F.regexp_replace(F.array_join(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), ""), r"\s", "")
-    rows = records.select(F.regexp_extract(F.get(lines, F.lit(0)), r"^\s*(\S+)", 1).alias("contig_id"), (F.upper(seq) if upper else seq).alias("seq"))
-    rows = rows.filter("contig_id <> ''").withColumn("length", F.length("seq").cast("bigint")).filter(F.col("length") >= min_length)
-    return rows.groupBy("contig_id").agg(F.max_by("seq", F.struct("length", "seq")).alias("seq"), F.max("length").alias("length"))
+    rows = records.select(F.regexp_extract(F.get(lines, F.lit(0)), r"^\s*(\S+)", 1).alias("contig_id"), (F.upper(seq) if upper else seq).alias("seq"), F.monotonically_increasing_id().alias("at"))
+    rows = rows.filter("contig_id <> ''").groupBy("contig_id").agg(F.max_by("seq", "at").alias("seq"))
+    return rows.withColumn("length", F.length("seq").cast("bigint")).filter(F.col("length") >= min_length)
 
 
 def contig_table(sequences: DataFrame, motif: str = "GATC") -> DataFrame:

@@ -64,10 +64,11 @@ def test_repair_within_range_and_overflow(spark):
     assert one == {(0, "a"), (1, "a"), (2, "a"), (3, "a"), (9, "a")}
 
 
-def sequential(contigs, copies, links, members, least):
-    """The strict order: one contig after the other, longest first."""
+def sequential(contigs, copies, links, members, least, known=None):
+    """The strict order: one contig after the other, longest first. ``known``: the members with sites."""
     group_of = {c: set(g) for c, g in members.items()}
-    sites = {g: 1 + sum(contigs[c][1] - 1 for c in members if g in members[c]) for gs in members.values() for g in gs}
+    sited = members if known is None else known
+    sites = {g: 1 + sum(contigs[c][1] - 1 for c in sited if g in members[c]) for gs in members.values() for g in gs}
     for c in sorted(contigs, key=lambda c: -contigs[c][0]):
         if c in group_of:
             continue

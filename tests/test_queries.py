@@ -12,9 +12,8 @@ def test_query_equals_its_sql(spark, data, name):
     check(spark, data, ALL[name], SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(ALL) - set(SQL)))
-def test_query_without_sql_runs(spark, data, name):
-    assert ALL[name](spark, data).count() >= 0
+def test_queries_without_sql_are_tested_elsewhere():
+    assert set(ALL) - set(SQL) == {"genotype", "reassign_density", "rescue_density", "lis_merge", "greedy_pairs"}  # tests/test_walks.py
 
 
 def test_entry(spark):

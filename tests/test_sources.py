@@ -15,16 +15,17 @@ def put(tmp_path, name, content):
 
 
 def test_fasta(spark, tmp_path):
-    p = put(tmp_path, "a.fa", ">a one\nacgt\nGATC\n>b\r\nGG\r\n\n>a\nac\n>c\n")
-    assert rows(text.fasta(spark, p).select("contig_id", "seq", "length")) == [("a", "ACGTGATC", 8), ("b", "GG", 2), ("c", "", 0)]
-    assert rows(text.fasta(spark, p, upper=False, min_length=3).select("seq")) == [("acgtGATC",)]
-    assert rows(text.contig_table(text.fasta(spark, p))) == [("a", 8, 2), ("b", 2, 1), ("c", 0, 1)]
+    p = put(tmp_path, "a.fa", ">a\nac\n>b\r\nGG\r\n\n>a one > two\nacgt\nGATC\n>d\nACGTACGTA\n>d\nACG\n>c\n")
+    assert rows(text.fasta(spark, p).select("contig_id", "seq", "length")) == [("a", "ACGTGATC", 8), ("b", "GG", 2), ("c", "", 0), ("d", "ACG", 3)]
+    assert rows(text.fasta(spark, p, upper=False, min_length=4).select("seq")) == [("acgtGATC",)]
+    assert rows(text.contig_table(text.fasta(spark, p))) == [("a", 8, 2), ("b", 2, 1), ("c", 0, 1), ("d", 3, 1)]
 
 
 def test_fasta_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("x", "ACGT"), ("y", "GG"), ("z", "T" * 5000)], "contig_id string, seq string")
-    sinks.fasta(df, str(tmp_path / "out"), min_length=3)
+    sinks.fasta(df, str(tmp_path / "out"), longer_than=3)
     assert rows(text.fasta(spark, str(tmp_path / "out")).select("contig_id", "seq")) == [("x", "ACGT"), ("z", "T" * 5000)]
+    assert rows(sinks.without_sequence(spark.createDataFrame([("x",), ("w",), ("w",)], "contig_id string"), df)) == [("w",)]
 
 
 def test_delta_skips_headers_indels_and_self_hits(spark, tmp_path):
