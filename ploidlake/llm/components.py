@@ -14,8 +14,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ploidlake.functions.ids import clean_id
+from ploidlake.operators.skew import lookup
 from ploidlake.runtime import Stages
 
 #: A vertex with more than one in this many rows of the relation is handed out by broadcast; there are fewer than this.
@@ -30,11 +32,27 @@ def hash_to_min(edges: DataFrame, left: str, right: str) -> DataFrame:
     """``(vertex, group)``: each vertex with a neighbour, and the smallest vertex it is linked with by any chain.
 
     Order is Spark's binary order (code points for strings). Pairs with a null side and pairs of a vertex with itself
-    link nothing; directions and repeats don't matter; other columns are ignored; no pairs give no rows.
+    link nothing; directions and repeats don't matter; other columns are ignored; no pairs give no rows. Vertices that are
+    no numbers are numbered in their order first, so that the rounds move and compare numbers only.
     """
     stages = Stages(edges.sparkSession, "components")
     pairs = edges.select(F.col(left).alias("v"), F.col(right).alias("u")).filter("v is not null and u is not null and v <> u")
     pairs = pairs.select(F.least("v", "u").alias("v"), F.greatest("v", "u").alias("u")).distinct()
+    if isinstance(pairs.schema["v"].dataType, T.IntegralType):
+        return _rounds(pairs, stages)
+    pairs = stages.write(pairs)
+    # Sorted and written, the numbers rise with the vertices and stay what they are.
+    codes = stages.write(pairs.select(F.explode(F.array("v", "u")).alias("name")).distinct().orderBy("name").withColumn("code", F.monotonically_increasing_id()))
+    coded = lookup(pairs, codes.withColumnsRenamed({"name": "v", "code": "a"}), "v").select("a", "u")
+    coded = lookup(stages.write(coded), codes.withColumnsRenamed({"name": "u", "code": "b"}), "u").select(F.col("a").alias("v"), F.col("b").alias("u"))
+    found = _rounds(coded, stages).join(codes.withColumnsRenamed({"code": "vertex", "name": "v"}), "vertex").select("v", "group")
+    # One group may hold most vertices: its rows are told its name in shards.
+    named = lookup(stages.write(found), codes.withColumnsRenamed({"code": "group", "name": "g"}), "group")
+    return named.select(F.col("v").alias("vertex"), F.col("g").alias("group"))
+
+
+def _rounds(pairs: DataFrame, stages: Stages) -> DataFrame:
+    """``(vertex, group)`` of distinct pairs of numbers."""
     links = pairs.select(F.explode(F.array(F.struct("v", "u"), F.struct(F.col("u").alias("v"), F.col("v").alias("u")), F.struct(F.col("v"), F.col("v").alias("u")), F.struct(F.col("u").alias("v"), F.col("u")))).alias("p"))
     sets, state, settled = stages.write(links.select("p.v", "p.u").distinct()), None, []
     for k in range(1, MAX_ROUNDS + 1):
