@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,8 @@ BITS_PER_KEY, MAX_BITS = 32, 1 << 28
 NOUN_SHARE = 0.2
 #: Share of capitalised words above which a text's case says nothing.
 SHOUTING = 0.6
-#: Texts handled together.
-TEXTS = 256
+#: Texts handled together, by number and by characters; longer texts are handled in stretches that overlap.
+TEXTS, STRETCH = 256, 1 << 21
 _LITERAL, _NUMBER, _UNIT, _NAME = range(4)
 _WINDOWS = "id bigint, key bigint, words string, kinds string"
 
@@ -96,6 +97,9 @@ BREAKS = frozenset("an auf aus außer bei bis durch für gegen hinter in mit nac
 
 _DROP = re.compile("[​-‍﻿­]")
 _WORD = re.compile(r"[^\W_]+")
+_BLANK = re.compile(r"\s")
+#: What stands between blanks and holds a word, or more of them.
+_PIECE = re.compile(r"\S*[^\W_]\S*")
 
 
 class _Numbered(dict):
@@ -159,6 +163,37 @@ def tokens(texts: list[str]) -> tuple:
     return words, text, (traits[at] & 2) > 0, first
 
 
+def _portions(rows: Iterator[tuple], window: int) -> Iterator[list[tuple]]:
+    """Pairs ``(label, text)`` in lists of bounded size.
+
+    A text longer than ``STRETCH`` comes in stretches, cut at blanks; each begins ``window`` words before the last one
+    ended, or more, so that every window is whole in one of them. Stretches of few words are longer.
+    """
+    held: list[tuple] = []
+    size = 0
+    for label, text in rows:
+        start, span = 0, STRETCH
+        while start < len(text):
+            m = _BLANK.search(text, start + span) if start + span < len(text) else None
+            end = m.start() if m else len(text)
+            if m and len(list(islice(_PIECE.finditer(text, start, end), 2 * window))) < 2 * window:
+                span *= 2
+                continue
+            held.append((label, text[start:end]))
+            size += end - start
+            if size >= STRETCH or len(held) >= TEXTS:
+                yield held
+                held, size = [], 0
+            if not m:
+                break
+            back, last = 16 * window, []
+            while len(last) <= window and back < 2 * (end - start):  # the first one may be cut
+                last, back = [x.start() for x in _PIECE.finditer(text, max(start, end - back), end)], 2 * back
+            start, span = last[-window], STRETCH
+    if held:
+        yield held
+
+
 def _filter(keys: DataFrame, column: str):
     """A broadcast bit filter over the distinct bigints of a column: two bits for each, in at most ``MAX_BITS``."""
     import numpy as np
@@ -292,10 +327,9 @@ def _windower(window: int, names: bool, probe):
 
         with np.errstate(over="ignore"):
             for batch in batches:
-                for at in range(0, batch.num_rows, TEXTS):
-                    part = batch.slice(at, TEXTS)
-                    both = [(i, t) for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if i is not None and t]
-                    got = windows([i for i, _ in both], [t for _, t in both]) if both else None
+                texts = ((i.as_py(), t.as_py()) for i, t in zip(batch.column(0), batch.column(1), strict=True) if i.is_valid and t.is_valid)
+                for both in _portions(texts, window):
+                    got = windows([i for i, _ in both], [t for _, t in both])
                     if got is not None:
                         yield got
 
@@ -323,11 +357,7 @@ def _cases(probe):
 
         wanted = probe.value
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
-                both = [(x, t) for x, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if t]
-                if not both:
-                    continue
+            for both in _portions(((x.as_py(), t.as_py()) for x, t in zip(batch.column(0), batch.column(1), strict=True) if t.is_valid), 1):
                 words, text, caps, first = tokens([t for _, t in both])
                 if not words:
                     continue

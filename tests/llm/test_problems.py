@@ -65,6 +65,14 @@ def test_very_large_sets_are_not_one_task(spark, monkeypatch):
     assert components.hash_to_min(spark.createDataFrame(pairs, "a bigint, b bigint"), "a", "b").filter("group = 0").count() == 3000
 
 
+@FEW
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text("aBé𝄞 ", max_size=2)), st.text("aBé𝄞 ", max_size=2)), max_size=20))
+def test_groups_of_texts_equal_union_find(spark, pairs):
+    df = spark.createDataFrame([(a, b, 1) for a, b in pairs], "v string, code string, name int")
+    got = [tuple(r) for r in components.hash_to_min(df, "v", "code").collect()]
+    assert sorted(got) == sorted(union_find(pairs))
+
+
 def test_components_of_any_size_settle(spark, monkeypatch):
     """One that fills most rows, finished early and late, beside chains that are finished at other times."""
     monkeypatch.setattr(components, "BIG_SETS", 10**9)  # all with more than 1000 rows are looked up by broadcast
@@ -269,13 +277,24 @@ def test_exact_windows_equal_brute_force(spark, monkeypatch):
             want |= {(d, i) for i in grams.get(tuple(plain(t)[k : k + 13]), ())}
     ds = spark.createDataFrame([*docs, (99, None), (None, items[0][1]), (100, "")], "doc_id bigint, text string")
     its = spark.createDataFrame([(i, "s", t, None) for i, t in items] + [(50, "s", None, None), (None, "s", docs[0][1], None)], "item_id bigint, suite string, item_text string, id string")
-    for bits in (leakage.MAX_BITS, 1 << 10):  # a filter that lets few windows pass, and one that lets nearly all
+    for bits, stretch in ((leakage.MAX_BITS, leakage.STRETCH), (1 << 10, 60)):  # a filter that lets few windows pass, and one that lets nearly all, with texts in stretches
         monkeypatch.setattr(leakage, "MAX_BITS", bits)
+        monkeypatch.setattr(leakage, "STRETCH", stretch)
         for exact in (True, False):
             got = leakage.matches(ds, its, "doc_id", "text", "item_id", "item_text", exact=exact).filter("exact_windows > 0")
             assert {(r.doc_id, r.item_id) for r in got.collect()} == want and want
 
 
+def test_every_window_is_whole_in_a_stretch(monkeypatch):
+    monkeypatch.setattr(leakage, "STRETCH", 50)
+    rnd = random.Random(5)
+    for text in (" ".join(rnd.choices([*WORDS, "—", "ri\u00adv\u200ber", "x" * 70], k=300)), "y" * 500, "", "a b"):
+        parts = [t for held in leakage._portions(iter([(1, text)]), 5) for _, t in held]
+        whole, pieces = plain(text), [plain(t) for t in parts]
+        assert {tuple(whole[k : k + 5]) for k in range(len(whole) - 4)} == {tuple(p[k : k + 5]) for p in pieces for k in range(len(p) - 4)}
+        assert text[:1] == "y" or all(len(t) < 1000 for t in parts)
+
+
 ITEM = "A merchant in the old harbour buys 12 crates from Anna and sells 5 crates to Anna before the evening bell rings twice"
 
 
