@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ploidlake.folds import genotype, refresh
+from ploidlake.folds import genotype
 from ploidlake.functions.scalar import multiplicity
 from ploidlake.operators import align
 from ploidlake.operators.hic import adjacency
@@ -129,18 +129,27 @@ def _rows(table: DataFrame, lengths: DataFrame, types: DataFrame) -> DataFrame:
 def thin_bins(table: DataFrame, lengths: DataFrame, types: DataFrame, p: Bins = Bins()) -> DataFrame:
     """``(chrom, bin_start, unitig)``: rows of more copies than the ploidy lose unitigs seen before, or drop out.
 
-    An ordered walk along each chromosome; its rows are bins, so a group is as large as a chromosome and not as the data.
+    A row (but the table's first and last) drops if each of its unitigs also stands in the row before or after it, as given.
+    Else unitigs that an earlier row kept leave, shortest first, until the copies fit or none is left. A unitig's first row
+    that stays keeps it for sure, so which ones were seen is known without walking along the chromosome.
     """
-    table = Stages(table.sparkSession, "thin").write(table)
-    ends = table.agg(F.min(F.struct("chrom", "bin_start")).alias("a"), F.max(F.struct("chrom", "bin_start")).alias("z")).first()
-    ends = [(r.chrom, r.bin_start) for r in (ends.a, ends.z) if r is not None]  # the table's first and last row
-    rows = _rows(table, lengths, types)
-    ploidy = p.ploidy
-
-    def walk(pdf):
-        return refresh.thin_chromosome(pdf, ploidy, ends)
-
-    return rows.groupBy("chrom").applyInPandas(walk, "chrom string, bin_start bigint, unitig string")
+    stages = Stages(table.sparkSession, "thin")
+    rows = stages.write(numbered(_rows(table, lengths, types).drop("row_no")))
+    ends = rows.agg(F.min(F.struct("chrom", "bin_start")).alias("a"), F.max(F.struct("chrom", "bin_start")).alias("z")).first()
+    exempt = F.lit(False)
+    for end in (ends.a, ends.z):
+        if end is not None:
+            exempt = exempt | ((F.col("chrom") == end.chrom) & (F.col("bin_start") == end.bin_start))
+    bin_, own = Window.partitionBy("chrom", "row_no"), Window.partitionBy("chrom", "unitig")
+    along = own.orderBy("row_no")
+    beside = F.coalesce(F.lag("row_no").over(along) == F.col("row_no") - 1, F.lit(False)) | F.coalesce(F.lead("row_no").over(along) == F.col("row_no") + 1, F.lit(False))
+    known = rows.withColumn("alone", (~beside).cast("int"))
+    known = known.withColumns({"total": F.sum("copies").over(bin_), "own": F.sum("alone").over(bin_)})
+    known = known.withColumn("drops", (F.col("total") > p.ploidy) & (F.col("own") == 0) & ~exempt)
+    known = known.withColumn("seen", F.coalesce(F.min(F.when(~F.col("drops"), F.col("row_no"))).over(own) < F.col("row_no"), F.lit(False))).filter("not drops")
+    left = F.coalesce(F.sum(F.when(F.col("seen"), F.col("copies"))).over(bin_.orderBy("length", "unitig").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    leaves = F.col("seen") & (F.col("total") - left > p.ploidy)
+    return known.withColumn("leaves", leaves).filter("not leaves").select("chrom", "bin_start", "unitig")
 
 
 def genotyped(table: DataFrame, types: DataFrame, lengths: DataFrame, sites: DataFrame, links: DataFrame, p: Bins = Bins(), q: Links = Links(), compat: bool = True) -> DataFrame:

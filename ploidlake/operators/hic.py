@@ -37,22 +37,31 @@ def half_links(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("ctg_i", S.half_of(F.col("a") + 1, F.col("len_i")).alias("end_i"), "ctg_j", S.half_of(F.col("b") + 1, F.col("len_j")).alias("end_j")).agg(F.count(F.lit(1)).alias("links"))
 
 
+_SIGNS = ("++", "+-", "-+", "--")
+
+
+def orientation_distances(pairs: DataFrame, p: Links = Links()) -> DataFrame:
+    """``(name_i, name_j, dist, links)``: how often each distance occurs for each orientation of a pair with enough links.
+
+    The long form of ``orientations``, for pairs with any number of links.
+    """
+    d = S.orientation_distances(F.col("a"), F.col("len_i"), F.col("b"), F.col("len_j"))
+    per = pairs.select("ctg_i", "ctg_j", F.posexplode(d).alias("o", "dist")).groupBy("ctg_i", "ctg_j", "o", "dist").agg(F.count(F.lit(1)).alias("links"))
+    enough = pairs.groupBy("ctg_i", "ctg_j").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= p.clm_min).select("ctg_i", "ctg_j")
+    sign = F.get(F.array(*map(F.lit, _SIGNS)), "o")
+    kept = per.join(enough, ["ctg_i", "ctg_j"], "left_semi")
+    return kept.select(F.concat("ctg_i", F.substring(sign, 1, 1)).alias("name_i"), F.concat("ctg_j", F.substring(sign, 2, 1)).alias("name_j"), "dist", "links")
+
+
 def orientations(pairs: DataFrame, p: Links = Links()) -> DataFrame:
     """``(name_i, name_j, n, distances)``: for each orientation of a pair with enough links the distances, ascending.
 
     Each distance stands twice and ``n`` is twice the links, as scaffolders read it. A pair's links are listed in one row,
-    which is what the format has; millions of links of one pair would call for another format.
+    which is what the format has; ``orientation_distances`` says the same in rows.
     """
-    d = pairs.withColumn("d", S.orientation_distances(F.col("a"), F.col("len_i"), F.col("b"), F.col("len_j")))
-    one = d.select("ctg_i", "ctg_j", F.posexplode("d").alias("o", "dist"))
-    per = one.groupBy("ctg_i", "ctg_j", "o").agg(F.sort_array(F.collect_list("dist")).alias("ds"), F.count(F.lit(1)).alias("links")).filter(F.col("links") >= p.clm_min)
-    sign = F.array(F.lit("++"), F.lit("+-"), F.lit("-+"), F.lit("--"))
-    return per.select(
-        F.concat("ctg_i", F.substring(F.get(sign, "o"), 1, 1)).alias("name_i"),
-        F.concat("ctg_j", F.substring(F.get(sign, "o"), 2, 1)).alias("name_j"),
-        (2 * F.col("links")).alias("n"),
-        F.array_join(F.flatten(F.transform("ds", lambda x: F.array(x, x))), " ").alias("distances"),
-    )
+    per = orientation_distances(pairs, p).groupBy("name_i", "name_j").agg(F.sort_array(F.collect_list(F.struct("dist", "links"))).alias("ds"), F.sum("links").alias("n"))
+    listed = F.flatten(F.transform("ds", lambda x: F.array_repeat(x["dist"], (2 * x["links"]).cast("int"))))
+    return per.select("name_i", "name_j", (2 * F.col("n")).alias("n"), F.array_join(listed, " ").alias("distances"))
 
 
 def adjacency(links: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ RED = Redundancy(min_query=10_000)
 SEG = Segments(gap=500_000)
 BINS = Bins(size=100_000, min_query=20_000)
 LINKS = Links(flank=20_000)
-CHROMS = [f"chr{k:02d}" for k in range(1, 12)]
+CHROMS = [f"chr{k:02d}" for k in range(1, 13)]
 
 
 # -- tables as the operators take them -------------------------------------------------------------------------------
@@ -143,6 +143,7 @@ QUERIES = {
     "link_full": lambda s, d: hic.link_counts(_mates(s, d), LINKS),
     "link_ht": lambda s, d: hic.half_links(_mates(s, d)),
     "link_clm": lambda s, d: hic.orientations(_mates(s, d), LINKS),
+    "link_distances": lambda s, d: hic.orientation_distances(_mates(s, d), LINKS),
     "link_adjacency": lambda s, d: hic.adjacency(_links(s, d)),
     "link_density": lambda s, d: _round(hic.density(_links(s, d), _unitigs(s, d)), "density"),
     "link_norm": lambda s, d: _round(hic.normalised(_links(s, d)), "norm_links"),
@@ -357,6 +358,8 @@ select contig_id, count(distinct least(g, r)) as kmers from g join r using (g) g
     "link_clm": f"""with {_MATES}, d as (select ctg_i, ctg_j, unnest([('+', '+', len_i - a + b), ('+', '-', len_i - a + len_j - b), ('-', '+', a + b), ('-', '-', a + len_j - b)]) as o from m),
 e as (select ctg_i || o[1] as name_i, ctg_j || o[2] as name_j, o[3] as dist from d)
 select name_i, name_j, 2 * count(*) as n, string_agg(dist || ' ' || dist, ' ' order by dist) as distances from e group by 1, 2 having count(*) >= 2""",
+    "link_distances": f"""with {_MATES}, d as (select ctg_i, ctg_j, count(*) over (partition by ctg_i, ctg_j) as n, unnest([('+', '+', len_i - a + b), ('+', '-', len_i - a + len_j - b), ('-', '+', a + b), ('-', '-', a + len_j - b)]) as o from m)
+select ctg_i || o[1] as name_i, ctg_j || o[2] as name_j, o[3] as dist, count(*) as links from d where n >= 2 group by 1, 2, 3""",
     "link_adjacency": f"with {_L}, {_ADJ} select * from adj",
     "link_density": f"with {_A}, {_UNITIGS}, {_L}, {_ADJ} select contig_id, cast(sum(links) as bigint) as links, round(cast(sum(links) as bigint) / any_value(re_sites), 6) as density from adj join u using (contig_id) group by 1",
     "link_norm": f"""with {_L}, {_ADJ}, tt as (select contig_id, cast(sum(links) as double) as total from adj group by 1), r as (select ctg_i, ctg_j, links, links / sqrt(x.total * y.total) as raw from l join tt x on x.contig_id = ctg_i join tt y on y.contig_id = ctg_j)

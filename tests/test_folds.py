@@ -3,7 +3,34 @@ import random
 
 from ploidlake.folds.genotype import Dealer
 from ploidlake.folds.lis import join_plan, longest_run, r_squared
-from ploidlake.folds.refresh import thin_rows
+
+
+def thin_rows(rows: list[list[str]], copies: dict[str, int], length: dict[str, int], ploidy: int, exempt: set[int]) -> list[list[str] | None]:
+    """Rows that hold more copies than ``ploidy`` are dropped (None) or lose unitigs.
+
+    A row (outside ``exempt``) goes if whatever it has beyond the row before also stands in the row after. Otherwise unitigs
+    kept by an earlier row leave, shortest first, until the copies fit or none is left. Neighbours are the rows as given.
+    """
+    kept: set[str] = set()
+    out: list[list[str] | None] = []
+    for k, row in enumerate(rows):
+        total = sum(copies[u] for u in row)
+        if total > ploidy and k not in exempt:
+            before = rows[k - 1] if k else []
+            after = rows[k + 1] if k + 1 < len(rows) else []
+            if set(row) - set(before) <= set(after):
+                out.append(None)
+                continue
+        leave: set[str] = set()
+        for u in sorted((u for u in row if u in kept), key=lambda u: (length[u], u)):
+            if total <= ploidy:
+                break
+            leave.add(u)
+            total -= copies[u]
+        rest = sorted(set(row) - leave)
+        kept.update(rest)
+        out.append(rest)
+    return out
 
 
 def thin(rows, copies=None, length=None, exempt=()):

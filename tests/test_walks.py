@@ -4,11 +4,12 @@ import random
 
 from conftest import rows
 from pyspark.sql import functions as F
+from test_folds import thin_rows
 from test_operators import greedy, sequential
 
 from ploidlake.functions.scalar import dosage_class
 from ploidlake.operators import allelic, merging, similarity
-from ploidlake.params import MULTIPLICITY, SCHEMES
+from ploidlake.params import MULTIPLICITY, SCHEMES, Bins
 from ploidlake.queries import domain
 
 
@@ -46,6 +47,24 @@ def test_dosage_schemes_by_hand(spark):
         assert df.filter(dosage_class(F.col("d"), SCHEMES[scheme]) != F.col("want")).count() == 0
 
 
+def test_thinned_bins_equal_a_walk(spark):
+    rnd = random.Random(21)
+    ids = [f"u{i}" for i in range(9)]
+    kinds = {u: rnd.choice(["haplotig", "haplotig", "diplotig", "triplotig", "tetraplotig"]) for u in ids}
+    length = {u: rnd.choice([10, 10, 20, 30]) for u in ids}
+    bins = {(c, 100 * b): rnd.sample(ids, rnd.randrange(1, 6)) for c in ("c1", "c2", "c3") for b in rnd.sample(range(60), 40)}
+    df = spark.createDataFrame([(c, b, 0, u) for (c, b), us in bins.items() for u in us], "chrom string, bin_start bigint, row_no int, unitig string")
+    got = rows(allelic.thin_bins(df, spark.createDataFrame(list(length.items()), "contig_id string, length bigint"), spark.createDataFrame(list(kinds.items()), "contig_id string, contig_type string"), Bins()))
+    want = []
+    for chrom in ("c1", "c2", "c3"):
+        mine = sorted(b for c, b in bins if c == chrom)
+        exempt = {k for k, b in enumerate(mine) if (chrom, b) in (min(bins), max(bins))}
+        for b, row in zip(mine, thin_rows([sorted(bins[chrom, b]) for b in mine], {u: MULTIPLICITY[k] for u, k in kinds.items()}, length, 4, exempt), strict=True):
+            want += [(chrom, b, u) for u in row or []]
+    assert got == sorted(want, key=repr) and len(got) < sum(map(len, bins.values()))
+    assert allelic.thin_bins(df.limit(0), spark.createDataFrame([], "contig_id string, length bigint"), spark.createDataFrame([], "contig_id string, contig_type string")).count() == 0
+
+
 def test_medians_equal_sorted_ones(spark):
     rnd = random.Random(3)
     items = [("hot", rnd.choice([7, rnd.randrange(-500_000, 500_000)])) for _ in range(2001)] + [(f"k{i % 7}", rnd.randrange(200)) for i in range(60)] + [("one", 5), ("two", 1), ("two", 4)]
