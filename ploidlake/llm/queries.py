@@ -52,6 +52,13 @@ def _limits(s, d):
     return joined.select("source", "docs", "docs_in_range", F.least("copies", F.floor(planned_sum)).alias("copies_at_least"), F.greatest("copies", F.ceil(planned_sum)).alias("copies_at_most"))
 
 
+def _lix(levels):
+    """``(doc_id, n_long, lix_grade, rix_grade)``: the formulas for all languages."""
+    from pyspark.sql import functions as F
+
+    return levels.select("doc_id", "n_long", F.round("lix_grade", 6).alias("lix_grade"), "rix_grade")
+
+
 QUERIES = {
     "p2_found": lambda s, d: components.contig_groups(table(s, d, "self_paf")),
     "p2_group_sizes": lambda s, d: components.group_sizes(table(s, d, "self_paf")),
@@ -73,6 +80,7 @@ QUERIES = {
     "p9_found": lambda s, d: readability.demanding(table(s, d, "documents")),
     "p9_levels": lambda s, d: readability.reading_levels(table(s, d, "documents"), "doc_id", "text", "lang"),
     "p9_counts": lambda s, d: readability.reading_levels(table(s, d, "documents"), "doc_id", "text", "lang").select("doc_id", "n_words", "n_sentences", "n_chars"),
+    "p9_lix": lambda s, d: _lix(readability.reading_levels(table(s, d, "documents"), "doc_id", "text", "lang")),
     "p9_profile": lambda s, d: readability.level_profile(table(s, d, "documents")),
 }
 
@@ -121,6 +129,11 @@ select source, docs, docs as docs_in_range, cast(floor(round(each * docs, 6)) as
     "p9_counts": r"""
 select doc_id, w as n_words, case when w > 0 then s else 0 end as n_sentences, c as n_chars from (
   select doc_id, coalesce(len(regexp_extract_all(text, '[^\s\p{Z}]*[\p{L}\p{N}][^\s\p{Z}]*')), 0) as w, 1 + coalesce(len(regexp_extract_all(text, '[.!?…][\s\p{Z}]+\p{Lu}')), 0) as s, coalesce(len(regexp_extract_all(text, '[\p{L}\p{N}]')), 0) as c from documents)""",
+    "p9_lix": r"""
+select doc_id, l as n_long, case when w > 0 then round((w / s + 100 * l / w - 10) / 4, 6) end as lix_grade,
+  case when w > 0 then 1e0 + len(list_filter([0.2e0, 0.5e0, 0.8e0, 1.3e0, 1.8e0, 2.4e0, 3e0, 3.7e0, 4.5e0, 5.3e0, 6.2e0, 7.2e0], lambda t: l / s >= t)) end as rix_grade from (
+  select doc_id, coalesce(len(p), 0) as w, 1 + coalesce(len(regexp_extract_all(text, '[.!?…][\s\p{Z}]+\p{Lu}')), 0) as s, coalesce(len(list_filter(p, lambda x: len(regexp_extract_all(x, '[\p{L}\p{N}]')) > 6)), 0) as l
+  from (select doc_id, text, regexp_extract_all(text, '[^\s\p{Z}]*[\p{L}\p{N}][^\s\p{Z}]*') as p from documents))""",
     "p9_found": r"""
 select distinct doc_id from (
   select doc_id, len(regexp_extract_all(text, '[^\s\p{Z}]*[\p{L}\p{N}][^\s\p{Z}]*')) as w, 1 + len(regexp_extract_all(text, '[.!?…][\s\p{Z}]+\p{Lu}')) as s, len(regexp_extract_all(text, '[\p{L}\p{N}]')) as c from documents)
