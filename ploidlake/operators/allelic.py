@@ -9,6 +9,7 @@ from ploidlake.folds import genotype
 from ploidlake.functions.scalar import multiplicity
 from ploidlake.operators import align
 from ploidlake.operators.hic import adjacency
+from ploidlake.operators.skew import attach
 from ploidlake.params import Bins, Links
 from ploidlake.runtime import Stages
 
@@ -163,7 +164,7 @@ def genotyped(table: DataFrame, types: DataFrame, lengths: DataFrame, sites: Dat
     rows = rows.join(sites.select(F.col("contig_id").alias("unitig"), "re_sites"), "unitig", "left").withColumn("re_sites", F.coalesce("re_sites", F.lit(1)).cast("bigint"))
     home = table.select("unitig", F.col("chrom").alias("home")).distinct()
     mine, theirs = home.withColumnsRenamed({"unitig": "contig_id", "home": "at"}), home.withColumnsRenamed({"unitig": "other", "home": "other_at"})
-    adj = adjacency(links).join(mine, "contig_id").join(theirs, "other").filter("at = other_at").select("at", "contig_id", "other", "links", F.lit(None).cast("double").alias("ratio"))
+    adj = attach(attach(adjacency(links), mine, "contig_id"), theirs, "other").filter("at = other_at").select("at", "contig_id", "other", "links", F.lit(None).cast("double").alias("ratio"))
     ratios = overlap_ratios(table).select(F.col("u1").alias("contig_id"), F.col("u2").alias("other"), "ratio").join(mine, "contig_id").select("at", "contig_id", "other", F.lit(None).cast("bigint").alias("links"), "ratio")
     facts = adj.unionByName(ratios)
     ploidy = p.ploidy

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ploidlake.functions.scalar import multiplicity
 from ploidlake.operators.hic import adjacency, contig_group_links, group_sites
+from ploidlake.operators.skew import attach
 from ploidlake.params import Links
 from ploidlake.runtime import Stages
 
@@ -46,10 +47,10 @@ def reassign(contigs: DataFrame, types: DataFrame, links: DataFrame, membership:
     waiting = stages.write(rows)
     bands = _edges(waiting, rounds)
     waiting = stages.write(waiting.withColumns({"band": _band(bands), "tile": _band(_edges(waiting, -(-waiting.count() // tile)))}))
-    near = adjacency(links).join(waiting.select("contig_id", "length"), "contig_id")
+    near = attach(adjacency(links), waiting.select("contig_id", "length"), "contig_id")
     fixed = contig_group_links(links, grouped).join(waiting.select("contig_id"), "contig_id", "left_semi").select("contig_id", "group_name", "links", "strongest")
     fixed = stages.write(fixed)
-    among = near.join(waiting.select(F.col("contig_id").alias("other"), F.col("length").alias("other_length")), "other")
+    among = attach(near, waiting.select(F.col("contig_id").alias("other"), F.col("length").alias("other_length")), "other")
     among = stages.write(among.filter(_first("other_length", "other", "length", "contig_id")).select("contig_id", "other", "links"))
     sites = stages.write(group_sites(grouped, contigs))
     last = now = stages.write(fixed.select("contig_id", "group_name").limit(0))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ploidlake.functions import scalar as S
-from ploidlake.operators.skew import lookup
+from ploidlake.operators.skew import attach, lookup
 from ploidlake.params import Links
 from ploidlake.runtime import Stages
 
@@ -22,8 +22,9 @@ def mates(read_pairs: DataFrame, lengths: DataFrame) -> DataFrame:
     first = read_pairs.filter((F.col("flag").bitwiseAND(64) != 0) & (F.col("ref") != F.col("mref")))
     both = F.least(F.struct(F.col("ref").alias("c"), F.col("pos").alias("x")), F.struct(F.col("mref").alias("c"), F.col("mpos").alias("x"))), F.greatest(F.struct(F.col("ref").alias("c"), F.col("pos").alias("x")), F.struct(F.col("mref").alias("c"), F.col("mpos").alias("x")))
     rows = first.select(both[0].alias("i"), both[1].alias("j")).select(F.col("i.c").alias("ctg_i"), F.col("i.x").alias("a"), F.col("j.c").alias("ctg_j"), F.col("j.x").alias("b"))
-    rows = rows.join(lengths.select(F.col("contig_id").alias("ctg_i"), F.col("length").alias("len_i")), "ctg_i")
-    return rows.join(lengths.select(F.col("contig_id").alias("ctg_j"), F.col("length").alias("len_j")), "ctg_j")
+    lengths = Stages(read_pairs.sparkSession, "lengths").write(lengths.select("contig_id", "length"))
+    rows = attach(rows, lengths.withColumnsRenamed({"contig_id": "ctg_i", "length": "len_i"}), "ctg_i")
+    return attach(rows, lengths.withColumnsRenamed({"contig_id": "ctg_j", "length": "len_j"}), "ctg_j")
 
 
 def link_counts(pairs: DataFrame, p: Links = Links()) -> DataFrame:
@@ -89,8 +90,9 @@ def normalised(links: DataFrame) -> DataFrame:
 
 def typed(links: DataFrame, types: DataFrame) -> DataFrame:
     """Links with ``type_i`` and ``type_j``; contigs without type are haplotigs."""
-    t = types.select("contig_id", "contig_type")
-    both = links.join(t.withColumnsRenamed({"contig_id": "ctg_i", "contig_type": "type_i"}), "ctg_i", "left").join(t.withColumnsRenamed({"contig_id": "ctg_j", "contig_type": "type_j"}), "ctg_j", "left")
+    t = Stages(links.sparkSession, "types").write(types.select("contig_id", "contig_type"))
+    both = attach(links, t.withColumnsRenamed({"contig_id": "ctg_i", "contig_type": "type_i"}), "ctg_i", "left")
+    both = attach(both, t.withColumnsRenamed({"contig_id": "ctg_j", "contig_type": "type_j"}), "ctg_j", "left")
     return both.withColumns({c: F.coalesce(c, F.lit("haplotig")) for c in ("type_i", "type_j")})
 
 
@@ -114,8 +116,8 @@ def bin_density(links: DataFrame, contigs: DataFrame, size: int) -> DataFrame:
 def shared_groups(rows: DataFrame, membership: DataFrame) -> DataFrame:
     """Rows ``(ctg_i, ctg_j, ...)`` once for each group that has both contigs."""
     a = membership.select(F.col("contig_id").alias("ctg_i"), "group_name")
-    b = membership.select(F.col("contig_id").alias("ctg_j"), "group_name")
-    return rows.join(a, "ctg_i").join(b, ["ctg_j", "group_name"])
+    b = membership.select(F.col("contig_id").alias("ctg_j"), F.col("group_name").alias("other_group"))
+    return attach(attach(rows, a, "ctg_i"), b, "ctg_j").filter("group_name = other_group").drop("other_group")
 
 
 def group_sites(membership: DataFrame, contigs: DataFrame) -> DataFrame:

@@ -28,6 +28,8 @@ BUCKETS_PER_TASK = 16
 LEAST_BUCKETS = 1024
 #: Shards a task's fair share is cut into; a key above one shard's load is split.
 SHARDS_PER_TASK = 4
+#: Most rows of a table of contigs that every task holds instead of being sent its part.
+MOST_TOLD = 200_000
 
 
 @dataclass(frozen=True)
@@ -165,6 +167,10 @@ def lookup(facts: DataFrame, match: DataFrame, key: str, plan: LoadPlan | None =
     b, theirs = _numbered(match, key, "m")
     plan = plan or plan_loads(a, "key")
     joined = _placed(a.withColumn("salt", _salt(a)), plan, replicate=False).join(_placed(b, plan, replicate=True), ["task", "shard", "key"], how)
+    return _renamed(joined, facts, key, own, theirs)
+
+
+def _renamed(joined: DataFrame, facts: DataFrame, key: str, own: dict[str, str], theirs: dict[str, str]) -> DataFrame:
     out = [F.col("key").alias(key) if c == key else F.col(own[c]).alias(c) for c in facts.columns]
     taken = list(facts.columns)
     for c, n in theirs.items():
@@ -173,6 +179,17 @@ def lookup(facts: DataFrame, match: DataFrame, key: str, plan: LoadPlan | None =
     return joined.select(*out)
 
 
+def attach(facts: DataFrame, match: DataFrame, key: str, how: str = "inner", most: int = MOST_TOLD) -> DataFrame:
+    """What ``lookup`` gives, but a ``match`` of at most ``most`` rows goes to every task, and ``facts`` stay where they are."""
+    stages = Stages(facts.sparkSession, "attach")
+    match = stages.write(match)
+    if match.count() > most:
+        return lookup(stages.write(facts), match, key, how=how)
+    a, own = _numbered(facts, key, "f")
+    b, theirs = _numbered(match, key, "m")
+    return _renamed(a.join(F.broadcast(b), "key", how), facts, key, own, theirs)
+
+
 # -- links per contig and per contig type ---------------------------------------------------------------------------
 
 

@@ -70,6 +70,16 @@ def test_lookup_with_clashing_names_and_nulls(spark):
     assert skew.lookup(facts, match, "key", how="left").count() == 5
 
 
+def test_attach_is_lookup_whatever_the_size(spark):
+    facts = spark.createDataFrame([("a", 1, "t"), ("a", 2, "t"), (None, 3, "t"), ("z", 4, None)], "key string, task int, m0 string")
+    match = spark.createDataFrame([("a", 7), ("a", 8), (None, 9)], "key string, task int")
+    for how in ("inner", "left"):
+        want = skew.lookup(facts, match, "key", how=how)
+        for most in (0, 100):
+            got = skew.attach(facts, match, "key", how, most)
+            assert got.columns == want.columns == ["key", "task", "m0", "task_"] and rows(got) == rows(want)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "k string, v bigint")
     assert skew.keyed_totals(none, "k", {"s": "v"}).count() == 0
